@@ -58,6 +58,9 @@ BLANKS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The same characters as a class in a pattern.
+BLANK_CLASS = r"\t-\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
 # Shapes of a Canadian postal code, a posted date and an amount (Java syntax).
 POSTAL_CODE_PATTERN = r"(?iU)^[A-Z]\d[A-Z][\s\x1c-\x1f]*\d[A-Z]\d$"
 POSTED_DATE_PATTERN = r"(?d)^(\d{4}-\d{2}-\d{2})(?:[ T]\d{2}:\d{2}:\d{2}.*)?$"

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postledger.fixed_values import (
-    BLANKS,
+    BLANK_CLASS,
     COUNTRY_BY_TOKEN,
     COUNTRY_NAME,
     KEY_SEPARATOR,
@@ -22,26 +22,26 @@ LOCATION_COLUMNS = (
 
 _REGION_NAME = PROVINCES | STATES
 _REGION_BY_NAME = {name.upper(): code for code, name in _REGION_NAME.items()}
-_REGION_BY_CODE = {code: code for code in _REGION_NAME}
 
-# A run of commas with the blanks around it. The look-behind lets a match start only where
-# a run of blanks starts, so long runs of blanks cost no more than their length.
-_COMMAS = rf"(?<![{BLANKS}])[{BLANKS}]*+,[{BLANKS},]*"
+_COMMAS = f",[{BLANK_CLASS},]*"
+# The look-behind lets a match start only where a run of blanks starts, so that a long
+# run costs no more than its length.
+_BLANKS_AND_COMMA = f"(?<![{BLANK_CLASS}])[{BLANK_CLASS}]*+,"
 
 
 def _last(tokens: Column) -> Column:
-    return F.substring_index(tokens, ",", -1)
+    return strip_blanks(F.substring_index(tokens, ",", -1))
 
 
 def _all_but_last(tokens: Column) -> Column:
-    return F.left(tokens, F.char_length(tokens) - F.char_length(_last(tokens)) - 1)
+    last = F.substring_index(tokens, ",", -1)
+    return F.left(tokens, F.char_length(tokens) - F.char_length(last) - 1)
 
 
-def _region_code(token: Column) -> Column:
-    spelled = F.upper(token)
-    return F.when(F.char_length(spelled) == 2, lookup(_REGION_BY_CODE, spelled)).otherwise(
-        lookup(_REGION_BY_NAME, spelled)
-    )
+def _joined(tokens: Column) -> Column:
+    """Tokens as one text; most places are one token and need no pattern."""
+    several = F.regexp_replace(tokens, _BLANKS_AND_COMMA, ", ")
+    return strip_blanks(F.when(F.contains(tokens, F.lit(",")), several).otherwise(tokens))
 
 
 def with_location(df: DataFrame, source: str = "location") -> DataFrame:
@@ -51,8 +51,8 @@ def with_location(df: DataFrame, source: str = "location") -> DataFrame:
     token and California before a country. A province that contradicts the country leaves
     the whole text unresolved, keyed by the text itself.
 
-    Each step is a projection over the one before it; the token list stays one
-    comma-separated string, so every step compiles to plain string code.
+    Each step is a projection over the one before it. The token list stays one string with
+    single commas between tokens, so every step compiles to plain string code.
     """
     steps = df.withColumn("_text", strip_blanks(F.coalesce(F.col(source), F.lit(""))))
     steps = steps.withColumn(
@@ -68,7 +68,12 @@ def with_location(df: DataFrame, source: str = "location") -> DataFrame:
         F.when(F.col("_said").isNotNull() | F.col("_postal"), _all_but_last(F.col("_tokens")))
         .otherwise(F.col("_tokens")),
     )
-    steps = steps.withColumn("_region", _region_code(_last(F.col("_rest"))))
+    steps = steps.withColumn("_token", F.upper(_last(F.col("_rest"))))
+    steps = steps.withColumn(
+        "_region",
+        F.when(F.col("_token").isin(*_REGION_NAME), F.col("_token"))
+        .when(F.col("_token").isin(*_REGION_BY_NAME), lookup(_REGION_BY_NAME, F.col("_token"))),
+    )
     steps = steps.withColumn(
         "_implied",
         F.when(F.col("_region").isin(*PROVINCES), F.lit("CA"))
@@ -86,7 +91,7 @@ def with_location(df: DataFrame, source: str = "location") -> DataFrame:
     steps = steps.withColumns({
         "resolved": known,
         "province_code": F.when(known, F.col("_region")),
-        "_place": F.when(known, F.nullif(F.replace(place, F.lit(","), F.lit(", ")), F.lit(""))),
+        "_place": F.when(known, F.nullif(_joined(place), F.lit(""))),
     })
     steps = steps.withColumns({
         "city": F.when(F.lower("_place") != REMOTE, F.col("_place")),

@@ -94,6 +94,10 @@ def require_contracts(
     """Fail, naming some of the violations, unless every contract of ``checked`` holds."""
     for table in checked:
         check_columns(tables[table.name], table)
-    some = violations(tables, checked).take(5)
-    if some:
-        raise ContractViolation("; ".join(f"{r.table_name} {r.contract} {r.what} ({r.rows} rows)" for r in some))
+    broken = violations(tables, checked).groupBy("table_name", "contract").agg(
+        F.count(F.lit(1)).alias("n"), F.min("what").alias("what")
+    ).collect()
+    if broken:
+        raise ContractViolation(
+            "; ".join(f"{r.table_name}: {r.n} broken {r.contract} contracts, such as {r.what}" for r in broken)
+        )

@@ -1,5 +1,6 @@
 """Build the six tables of the model from landed rows."""
 
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +11,7 @@ from postledger.operators.dims import (
     build_dim_source,
 )
 from postledger.operators.facts import build_observations, build_postings
-from postledger.plans.write import write_table
+from postledger.plans.write import write_table, write_together
 from postledger.schemas import (
     ALL_TABLES,
     DIM_COMPANY,
@@ -19,6 +20,7 @@ from postledger.schemas import (
     DIM_SOURCE,
     FACT_OBSERVATION,
     FACT_POSTING,
+    Table,
 )
 from postledger.sources.landed import read_landed
 from postledger.sources.model import read_table
@@ -46,28 +48,26 @@ def build_model(landed: DataFrame, model_dir: str) -> dict[str, int]:
     dimensions read one narrow column of the landed rows each.
     """
     spark = landed.sparkSession
+    from_landed = {
+        FACT_OBSERVATION: build_observations(landed),
+        DIM_COMPANY: build_dim_company(landed),
+        DIM_LOCATION: build_dim_location(landed),
+        DIM_SOURCE: build_dim_source(landed),
+    }
+    counts = _write(spark, from_landed, model_dir)
+    observations = read_table(spark, model_dir, FACT_OBSERVATION)
+    from_observations = {
+        FACT_POSTING: build_postings(observations),
+        DIM_DATE: build_dim_date(observations),
+    }
+    counts |= _write(spark, from_observations, model_dir)
+    return {table.name: counts[table.name] for table in ALL_TABLES}
 
-    def write(table, df):
-        return write_table(df, model_dir, table)
-
-    def from_observations():
-        rows = write(FACT_OBSERVATION, build_observations(landed))
-        observations = read_table(spark, model_dir, FACT_OBSERVATION)
-        return {
-            FACT_OBSERVATION.name: rows,
-            FACT_POSTING.name: write(FACT_POSTING, build_postings(observations)),
-            DIM_DATE.name: write(DIM_DATE, build_dim_date(observations)),
-        }
-
-    def from_landed():
-        return {
-            DIM_COMPANY.name: write(DIM_COMPANY, build_dim_company(landed)),
-            DIM_LOCATION.name: write(DIM_LOCATION, build_dim_location(landed)),
-            DIM_SOURCE.name: write(DIM_SOURCE, build_dim_source(landed)),
-        }
 
-    counts = from_landed() | from_observations()
-    return {table.name: counts[table.name] for table in ALL_TABLES}
+def _write(spark: SparkSession, built: dict[Table, DataFrame], model_dir: str) -> dict[str, int]:
+    return write_together(
+        {table.name: partial(write_table, df, model_dir, table) for table, df in built.items()}, spark
+    )
 
 
 def build_warehouse(spark: SparkSession, landing_dir: str, model_dir: str) -> dict[str, int]:

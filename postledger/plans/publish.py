@@ -5,13 +5,14 @@ Readers follow the last entry of the log. An entry is one small file that is com
 rename, so readers see either the old model or the new one, never a mix.
 """
 
+from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from postledger.operators.contracts import require_contracts
-from postledger.plans.write import replace_partition, write_table
+from postledger.plans.write import replace_partition, write_table, write_together
 from postledger.schemas import ALL_TABLES, DIMENSIONS, FACT_OBSERVATION, FACTS, Table
 from postledger.sources.model import read_model, read_table
 from postledger.storage import path_exists
@@ -47,10 +48,14 @@ def publish_full(spark: SparkSession, model_dir: str, root: str) -> dict[str, in
     contracts hold; until then, or when one is broken, readers keep the one before.
     """
     directory = f"version-{uuid4().hex}"
-    counts = {
-        table.name: write_table(read_table(spark, model_dir, table), f"{root}/{directory}", table)
-        for table in ALL_TABLES
-    }
+    counts = {}
+    for tables in (DIMENSIONS, FACTS):
+        counts |= write_together({
+            table.name: partial(
+                write_table, read_table(spark, model_dir, table), f"{root}/{directory}", table
+            )
+            for table in tables
+        }, spark)
     require_contracts(read_model(spark, f"{root}/{directory}"))
     last = _last_entry(spark, root)
     entry = spark.createDataFrame([(last.version + 1 if last else 1, directory)], _LOG)

@@ -1,7 +1,10 @@
 """Table writes that report how many rows they wrote."""
 
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,17 @@ def write_table(df: DataFrame, model_dir: str, table: Table) -> int:
     return counted.get["rows"]
 
 
+def write_together(writes: Mapping[str, Callable[[], int]], spark: SparkSession) -> dict[str, int]:
+    """Run writes that do not wait for each other at the same time; the rows of each.
+
+    A small table then fills what a large one leaves idle at its end. The first failure is
+    raised once all have ended.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, len(writes))) as threads:
+        started = {name: threads.submit(inheritable_thread_target(spark)(write)) for name, write in writes.items()}
+    return {name: write.result() for name, write in started.items()}
+
+
 def replace_partition(df: DataFrame, table_dir: str, column: str, value: str) -> int:
     """Replace the rows of one partition, and of no other, by ``df``; the rows written.
 

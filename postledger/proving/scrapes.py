@@ -56,8 +56,12 @@ def _text(column: Column) -> Column:
 
 
 def _pick(index: Column, *choices) -> Column:
-    literal = [c if isinstance(c, Column) else F.lit(c).cast("string") for c in choices]
-    return F.element_at(F.array(*literal), (index % len(choices) + 1).cast("int"))
+    if not any(isinstance(c, Column) for c in choices):
+        return F.array(*[F.lit(c).cast("string") for c in choices])[(index % len(choices)).cast("int")]
+    picked = F.when(F.lit(False), F.lit(None).cast("string"))
+    for i, choice in enumerate(choices):
+        picked = picked.when(index % len(choices) == i, choice)
+    return picked
 
 
 def scraped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

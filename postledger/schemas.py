@@ -45,6 +45,9 @@ class Table:
     references: tuple[Reference, ...] = ()
     partition_by: tuple[str, ...] = field(default=())
 
+    def __hash__(self) -> int:
+        return hash(self.name)
+
     @property
     def columns(self) -> list[str]:
         return self.schema.names

@@ -28,13 +28,14 @@ def fingerprint(columns: Sequence[str]) -> Column:
     return F.coalesce(F.sum(row_digest(columns)), F.lit(0)).cast("string")
 
 
-def build_manifest(landed: DataFrame, contents: Sequence[str] | None = None) -> DataFrame:
+def build_manifest(landed: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """One row per landed ingest date: rows, distinct URLs, files and fingerprint.
 
-    The first aggregate is one row per file before it is shuffled. Distinct URLs are
-    counted from (date, URL) pairs, so no task holds the URLs of a whole date.
+    With ``dates`` (``ingest_date``) also a row for each of them that has no rows. The
+    first aggregate is one row per file before it is shuffled. Distinct URLs are counted
+    from (date, URL) pairs, so no task holds the URLs of a whole date.
     """
-    contents = contents or landed.columns
+    contents = [c for c in landed.columns if c != "ingest_date"]
     files = (
         landed.groupBy("ingest_date", "_source_file")
         .agg(F.count(F.lit(1)).alias("rows"), F.sum(row_digest(contents)).alias("digest"))
@@ -45,17 +46,21 @@ def build_manifest(landed: DataFrame, contents: Sequence[str] | None = None) ->
             F.sum("digest").cast("string").alias("fingerprint"),
         )
     )
+    url = F.col("job_url") if "job_url" in contents else F.lit(None).cast("string")
     urls = (
-        landed.select("ingest_date", F.nullif(strip_blanks(F.col("job_url")), F.lit("")).alias("url"))
+        landed.select("ingest_date", F.nullif(strip_blanks(url), F.lit("")).alias("url"))
         .distinct()
         .groupBy("ingest_date")
         .agg(F.count("url").alias("distinct_job_urls"))
     )
-    return files.join(urls, "ingest_date").select(
+    counted = files.join(urls, "ingest_date")
+    if dates is not None:
+        counted = dates.join(counted, "ingest_date", "left")
+    return counted.select(
         "ingest_date",
-        "rows",
-        "distinct_job_urls",
-        "source_files",
+        F.coalesce("rows", F.lit(0)).alias("rows"),
+        F.coalesce("distinct_job_urls", F.lit(0)).alias("distinct_job_urls"),
+        F.coalesce("source_files", F.array().cast("array<string>")).alias("source_files"),
         F.array(*[F.lit(c) for c in SENSITIVE_COLUMNS]).alias("dropped_columns"),
-        "fingerprint",
+        F.coalesce("fingerprint", F.lit("0")).alias("fingerprint"),
     )

@@ -28,6 +28,8 @@ def land(
     pattern: str = SCRAPE_GLOB,
     only_date: str | None = None,
     wide_rows: str = "fail",
+    multi_line: bool = True,
+    storage: str = "parquet",
 ) -> DataFrame:
     """Land every scrape date found in ``source_dir``, or only one; their manifest.
 
@@ -35,22 +37,29 @@ def land(
     it was, dates without files keep what they have, and landing the same files again
     gives the same rows. Rows are neither cleaned nor deduplicated here.
 
+    ``storage`` is ``"parquet"`` or, for readers of text, ``"json"``: gzipped JSON lines.
+
     A scrape file belongs to one date, so rows go from the task that parses them straight
     to their partition, without a shuffle.
     """
-    rows = read_scrapes(spark, source_dir, pattern, only_date, wide_rows)
+    rows = read_scrapes(spark, source_dir, pattern, only_date, wide_rows, multi_line)
+    if storage == "json":
+        rows = rows.withColumn("_ingest_date", F.col("ingest_date").cast("string"))
     dates = ingest_dates(raw_scrape_paths(spark, source_dir, pattern), pattern)
     if only_date is not None:
         dates = [only_date]
     seen = Observation(f"landed-{uuid4().hex}")
     with_rows = F.collect_set(F.col("ingest_date").cast("string")).alias("dates")
-    _overwrite(rows.observe(seen, with_rows), landing_dir(root))
+    _overwrite(rows.observe(seen, with_rows), landing_dir(root), storage)
     for date in set(dates) - set(seen.get["dates"]):
-        empty_partition(spark, rows.schema, landing_dir(root), "ingest_date", date)
+        empty_partition(spark, rows.schema, landing_dir(root), "ingest_date", date, storage)
     # From what was committed, not from what was read.
-    landed = spark.read.schema(rows.schema).parquet(landing_dir(root))
-    manifest = build_manifest(landed.filter(F.col("ingest_date").isin(*dates)))
-    _overwrite(manifest.coalesce(1), manifest_dir(root))
+    landed = spark.read.schema(rows.schema).format(storage).load(landing_dir(root))
+    asked = spark.createDataFrame([(date,) for date in dates], "date string").select(
+        F.col("date").cast("date").alias("ingest_date")
+    )
+    manifest = build_manifest(landed.filter(F.col("ingest_date").isin(*dates)), asked)
+    _overwrite(manifest.coalesce(1), manifest_dir(root), "parquet")
     return read_manifest(spark, root).filter(F.col("ingest_date").isin(*dates))
 
 
@@ -59,6 +68,8 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(manifest_dir(root))
 
 
-def _overwrite(df: DataFrame, directory: str) -> None:
+def _overwrite(df: DataFrame, directory: str, storage: str) -> None:
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("ingest_date").parquet(directory)
+    if storage == "json":
+        writer = writer.option("compression", "gzip")
+    writer.partitionBy("ingest_date").format(storage).save(directory)

@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from postledger.schemas import Table
 
@@ -59,7 +60,9 @@ def replace_partition(df: DataFrame, table_dir: str, column: str, value: str) ->
     return written
 
 
-def empty_partition(spark: SparkSession, schema, table_dir: str, column: str, value: str) -> None:
+def empty_partition(
+    spark: SparkSession, schema: StructType, table_dir: str, column: str, value: str, storage: str = "parquet"
+) -> None:
     """Leave one partition without rows; a dynamic overwrite never removes anything."""
     nothing = spark.createDataFrame([], schema).drop(column)
-    nothing.write.mode("overwrite").parquet(f"{table_dir}/{column}={value}")
+    nothing.write.mode("overwrite").format(storage).save(f"{table_dir}/{column}={value}")

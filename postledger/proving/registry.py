@@ -213,8 +213,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = scraped_orders(spark, sf_dir).drop("emails", "_order").withColumn(
         "ingest_date", F.col("_ingest_date").cast("date")
     )
-    contents = [c for c in landed.columns if c != "ingest_date"]
-    return build_manifest(landed, contents).withColumns({
+    return build_manifest(landed).withColumns({
         "source_files": F.concat_ws(",", "source_files"),
         "dropped_columns": F.concat_ws(",", "dropped_columns"),
     })

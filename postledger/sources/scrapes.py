@@ -111,7 +111,9 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
     return found
 
 
-def _read_alike(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def _read_alike(
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multi_line: bool
+) -> DataFrame:
     """Rows of files that share one header, with the number of fields each row has.
 
     Spark reads an empty field and a missing one as NULL alike. A row that is not as wide
@@ -128,7 +130,7 @@ def _read_alike(spark: SparkSession, paths: Sequence[str], columns: Sequence[str
     place = F.array_position(F.array(*[fields[f"_c{i}"] for i in range(width + 1)]), _END)
     rows = (
         spark.read.schema(schema)
-        .options(header=True, multiLine=True, columnNameOfCorruptRecord="_odd", **dialect)
+        .options(header=True, multiLine=multi_line, columnNameOfCorruptRecord="_odd", **dialect)
         .csv(list(paths))
         .select("*", F.col("_metadata.file_name").alias("_source_file"))
         .withColumn("_wide", F.col("_odd").isNotNull() & (F.coalesce(place, F.lit(0)) == 0))
@@ -150,6 +152,7 @@ def read_scrapes(
     pattern: str = SCRAPE_GLOB,
     only_date: str | None = None,
     wide_rows: str = "fail",
+    multi_line: bool = True,
 ) -> DataFrame:
     """Every row of the raw scrapes in ``source_dir``, columns matched by name.
 
@@ -160,7 +163,8 @@ def read_scrapes(
     ``"only"`` gives nothing but them.
 
     Files are read once per distinct header, a task per file: a quoted field may hold line
-    ends, so only a reader that starts at the top of a file knows where rows end.
+    ends, so only a reader that starts at the top of a file knows where rows end. Where no
+    field does, ``multi_line=False`` lets several tasks share a large file.
     """
     paths = raw_scrape_paths(spark, source_dir, pattern)
     ingest_dates(paths, pattern)
@@ -171,7 +175,7 @@ def read_scrapes(
     if not paths:
         raise ScrapeError(f"no scrape files under {source_dir}")
     parts = [
-        _read_alike(spark, group, next(csv.reader([header])))
+        _read_alike(spark, group, next(csv.reader([header])), multi_line)
         for header, group in headers(spark, paths).items()
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

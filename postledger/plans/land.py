@@ -42,12 +42,11 @@ def land(
     A scrape file belongs to one date, so rows go from the task that parses them straight
     to their partition, without a shuffle.
     """
-    rows = read_scrapes(spark, source_dir, pattern, only_date, wide_rows, multi_line)
+    paths = raw_scrape_paths(spark, source_dir, pattern, only_date)
+    dates = ingest_dates(paths, pattern)
+    rows = read_scrapes(spark, paths, pattern, wide_rows, multi_line)
     if storage == "json":
         rows = rows.withColumn("_ingest_date", F.col("ingest_date").cast("string"))
-    dates = ingest_dates(raw_scrape_paths(spark, source_dir, pattern), pattern)
-    if only_date is not None:
-        dates = [only_date]
     seen = Observation(f"landed-{uuid4().hex}")
     with_rows = F.collect_set(F.col("ingest_date").cast("string")).alias("dates")
     _overwrite(rows.observe(seen, with_rows), landing_dir(root), storage)

@@ -52,7 +52,7 @@ def publish_full(spark: SparkSession, model_dir: str, root: str) -> dict[str, in
     for tables in (DIMENSIONS, FACTS):
         counts |= write_together({
             table.name: partial(
-                write_table, read_table(spark, model_dir, table), f"{root}/{directory}", table
+                write_table, read_table(spark, model_dir, table), f"{root}/{directory}", table, gather=False
             )
             for table in tables
         }, spark)

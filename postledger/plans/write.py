@@ -12,16 +12,17 @@ from pyspark.sql.types import StructType
 from postledger.schemas import Table
 
 
-def write_table(df: DataFrame, model_dir: str, table: Table) -> int:
+def write_table(df: DataFrame, model_dir: str, table: Table, gather: bool = True) -> int:
     """Replace one table whole, in its declared columns; the number of rows written.
 
     Rows are counted while they are written. A partitioned table is first rebalanced by
     its partition column: each date ends up in few files of good size, and adaptive
-    execution splits a date that is larger than the others.
+    execution splits a date that is larger than the others. ``gather=False`` leaves that
+    out, for rows that come from such a table.
     """
     counted = Observation(f"{table.name}-{uuid4().hex}")
     rows = df.select(*table.columns)
-    if table.partition_by:
+    if table.partition_by and gather:
         rows = rows.hint("rebalance", *table.partition_by)
     writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     writer.partitionBy(*table.partition_by).parquet(f"{model_dir}/{table.name}")

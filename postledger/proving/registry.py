@@ -47,7 +47,7 @@ from postledger.schemas import (
 )
 from postledger.sources.landed import landed_fields, read_landed, read_landed_json
 from postledger.sources.model import read_model, read_table
-from postledger.sources.scrapes import ingest_date, read_scrapes, scrape_files
+from postledger.sources.scrapes import ingest_date, raw_scrape_paths, read_scrapes, scrape_files
 from postledger.storage import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,7 +140,7 @@ def land_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_scrapes(spark, _order_scrapes(spark, sf_dir))
+    rows = read_scrapes(spark, raw_scrape_paths(spark, _order_scrapes(spark, sf_dir)))
     return rows.select(*[c for c in SCRAPED if c != "emails"], "benefits", "ingest_date", "_source_file")
 
 
@@ -160,7 +160,7 @@ def land_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_scrapes(lines, file_headers(lines, header_of(SCRAPED)), directory)
 
     source = _once(spark, "wide", sf_dir, make) + "/scrapes"
-    wide = read_scrapes(spark, source, wide_rows="only")
+    wide = read_scrapes(spark, raw_scrape_paths(spark, source), wide_rows="only")
     return wide.select("id", "job_url", "description", "ingest_date", "_source_file")
 
 

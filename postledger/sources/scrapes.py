@@ -38,39 +38,54 @@ def ingest_date(file_name: Column, pattern: str = SCRAPE_GLOB) -> Column:
     return F.coalesce(found.try_cast("date"), F.raise_error(error).cast("date"))
 
 
+def file_name() -> Column:
+    """Name of the file a row was read from. Spark gives it as part of a URI."""
+    name = F.col("_metadata.file_name")
+    plain = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(name, F.lit("%")), plain).otherwise(name)
+
+
 def scrape_files(spark: SparkSession, source_dir: str, pattern: str = SCRAPE_GLOB) -> DataFrame:
     """The files of ``source_dir`` that ``pattern`` names: name, size, and whether derived.
 
     Lists the one directory and opens no file.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(source_dir)
-    name = F.col("_metadata.file_name")
-    return files.select(
-        name.alias("file_name"), "path", F.col("length").alias("bytes"), is_derived(name).alias("derived")
-    )
+    named = files.select(file_name().alias("file_name"), "path", F.col("length").alias("bytes"))
+    return named.withColumn("derived", is_derived(F.col("file_name")))
+
 
+def raw_scrape_paths(
+    spark: SparkSession, source_dir: str, pattern: str = SCRAPE_GLOB, only_date: str | None = None
+) -> list[str]:
+    """Paths of the raw scrapes in ``source_dir``, or of one date's, sorted; empty files included.
 
-def raw_scrape_paths(spark: SparkSession, source_dir: str, pattern: str = SCRAPE_GLOB) -> list[str]:
-    """Paths of the raw scrapes in ``source_dir``, sorted; empty files included."""
+    Fails when there is none, and on a name without a date.
+    """
     listed = spark.read.option("pathGlobFilter", pattern).text(source_dir).inputFiles()
-    paths = [unquote(path) for path in listed]
-    return sorted(path for path in paths if not any(m in _name(path) for m in DERIVED_MARKERS))
+    paths = sorted(path for path in map(unquote, listed) if not any(m in _name(path) for m in DERIVED_MARKERS))
+    dates = {path: _date_of(path, pattern) for path in paths}
+    if only_date is not None:
+        paths = [path for path in paths if dates[path] == only_date]
+    if not paths:
+        raise ScrapeError(f"no scrape files {f'for {only_date}' if only_date else f'under {source_dir}'}")
+    return paths
 
 
 def _name(path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
+def _date_of(path: str, pattern: str) -> str:
+    match = re.search(re.escape(pattern.split("*")[0]) + INGEST_DATE_PATTERN, _name(path))
+    if not match:
+        raise ScrapeError(f"no ingest date in file name: {_name(path)}")
+    return match[1]
+
+
 def ingest_dates(paths: Sequence[str], pattern: str = SCRAPE_GLOB) -> list[str]:
     """The distinct dates in the names of ``paths``, sorted; fails where a name has none."""
-    dated = re.compile(re.escape(pattern.split("*")[0]) + INGEST_DATE_PATTERN)
-    found = set()
-    for name in map(_name, paths):
-        match = dated.search(name)
-        if not match:
-            raise ScrapeError(f"no ingest date in file name: {name}")
-        found.add(match[1])
-    return sorted(found)
+    return sorted({_date_of(path, pattern) for path in paths})
 
 
 def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
@@ -94,7 +109,7 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
         # A file that costs as much to open as a task may read is a task of its own.
         spark.conf.set(opening, spark.conf.get("spark.sql.files.maxPartitionBytes"))
         lines = spark.read.text(list(paths)).select(
-            F.col("_metadata.file_name").alias("name"),
+            file_name().alias("name"),
             F.col("_metadata.file_block_start").alias("start"),
             F.col("value").alias("header"),
         )
@@ -128,11 +143,13 @@ def _read_alike(
     marked = ", ".join(f"_c{i} STRING" for i in range(width + 1))
     fields = F.from_csv(F.concat("_odd", F.lit(f",{_END}")), marked, {**dialect, "multiLine": "true"})
     place = F.array_position(F.array(*[fields[f"_c{i}"] for i in range(width + 1)]), _END)
+    # Always true. Spark reads the text of odd rows only together with a proper column.
+    any_length = F.char_length(F.coalesce(F.col(cells[0]), F.lit(""))) >= 0
     rows = (
         spark.read.schema(schema)
         .options(header=True, multiLine=multi_line, columnNameOfCorruptRecord="_odd", **dialect)
         .csv(list(paths))
-        .select("*", F.col("_metadata.file_name").alias("_source_file"))
+        .select(*cells, file_name().alias("_source_file"), F.when(any_length, F.col("_odd")).alias("_odd"))
         .withColumn("_wide", F.col("_odd").isNotNull() & (F.coalesce(place, F.lit(0)) == 0))
         .withColumn("_fields", F.when(F.col("_odd").isNull(), width).otherwise(place - 1))
     )
@@ -148,13 +165,12 @@ def _read_alike(
 
 def read_scrapes(
     spark: SparkSession,
-    source_dir: str,
+    paths: Sequence[str],
     pattern: str = SCRAPE_GLOB,
-    only_date: str | None = None,
     wide_rows: str = "fail",
     multi_line: bool = True,
 ) -> DataFrame:
-    """Every row of the raw scrapes in ``source_dir``, columns matched by name.
+    """Every row of the raw scrapes ``paths``, columns matched by name.
 
     An empty field is ``""``; a field that a short row or a file's header lacks is NULL.
     Sensitive columns are left out here, before anything is written. ``_source_file`` and
@@ -166,14 +182,6 @@ def read_scrapes(
     ends, so only a reader that starts at the top of a file knows where rows end. Where no
     field does, ``multi_line=False`` lets several tasks share a large file.
     """
-    paths = raw_scrape_paths(spark, source_dir, pattern)
-    ingest_dates(paths, pattern)
-    if only_date is not None:
-        paths = [p for p in paths if ingest_dates([p], pattern) == [only_date]]
-        if not paths:
-            raise ScrapeError(f"no scrape files for {only_date}")
-    if not paths:
-        raise ScrapeError(f"no scrape files under {source_dir}")
     parts = [
         _read_alike(spark, group, next(csv.reader([header])), multi_line)
         for header, group in headers(spark, paths).items()

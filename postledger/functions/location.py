@@ -14,7 +14,7 @@ from postledger.fixed_values import (
     STATES,
     UNRESOLVED_PREFIX,
 )
-from postledger.functions.text import fold_case, lookup, strip_blanks
+from postledger.functions.text import fold_case, lookup, one_of, strip_blanks
 
 LOCATION_COLUMNS = (
     "location_key", "city", "province_code", "province", "country_code", "country", "resolved",
@@ -71,12 +71,12 @@ def with_location(df: DataFrame, source: str = "location") -> DataFrame:
     steps = steps.withColumn("_token", F.upper(_last(F.col("_rest"))))
     steps = steps.withColumn(
         "_region",
-        F.when(F.col("_token").isin(*_REGION_NAME), F.col("_token"))
-        .when(F.col("_token").isin(*_REGION_BY_NAME), lookup(_REGION_BY_NAME, F.col("_token"))),
+        F.when(one_of("_token", _REGION_NAME), F.col("_token"))
+        .when(one_of("_token", _REGION_BY_NAME), lookup(_REGION_BY_NAME, F.col("_token"))),
     )
     steps = steps.withColumn(
         "_implied",
-        F.when(F.col("_region").isin(*PROVINCES), F.lit("CA"))
+        F.when(one_of("_region", PROVINCES), F.lit("CA"))
         .when(F.col("_region").isNotNull(), F.lit("US")),
     )
     steps = steps.withColumn(

@@ -1,5 +1,7 @@
 """Text helpers shared by the conforming rules."""
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,5 +21,10 @@ def fold_case(text: Column) -> Column:
 
 def lookup(table: dict[str, str], token: Column) -> Column:
     """Value of ``token`` in a small constant table, NULL when it is not there."""
-    pairs = [F.lit(part) for entry in table.items() for part in entry]
-    return F.create_map(*pairs)[token]
+    pairs = ", ".join(f"'{part}'" for entry in table.items() for part in entry)
+    return F.expr(f"map({pairs})")[token]
+
+
+def one_of(name: str, values: Iterable[str]) -> Column:
+    """Whether the column ``name`` holds one of ``values``; many are looked up in a hash set."""
+    return F.expr(f"{name} IN ({', '.join(f"'{value}'" for value in values)})")

@@ -3,6 +3,7 @@
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postledger.operators.dims import (
     build_dim_company,
@@ -11,7 +12,7 @@ from postledger.operators.dims import (
     build_dim_source,
 )
 from postledger.operators.facts import build_observations, build_postings
-from postledger.plans.write import write_table, write_together
+from postledger.plans.write import replace_partition, write_table, write_together
 from postledger.schemas import (
     ALL_TABLES,
     DIM_COMPANY,
@@ -73,3 +74,13 @@ def _write(spark: SparkSession, built: dict[Table, DataFrame], model_dir: str) -
 def build_warehouse(spark: SparkSession, landing_dir: str, model_dir: str) -> dict[str, int]:
     """Build the whole model from a landing directory; the rows of each table."""
     return build_model(read_landed(spark, landing_dir), model_dir)
+
+
+def rebuild_date(landed: DataFrame, model_dir: str, ingest_date: str) -> int:
+    """Replace one date of a model's observations by what is landed for it; the rows written.
+
+    A sighting belongs to one date, so only that date is read, deduplicated and written.
+    Postings and dimensions follow from all dates; a full build brings those up to date.
+    """
+    rows = build_observations(landed.filter(F.col("_ingest_date") == ingest_date))
+    return replace_partition(rows, f"{model_dir}/{FACT_OBSERVATION.name}", "ingest_date", ingest_date)

@@ -22,7 +22,7 @@ from postledger.operators.facts import build_observations, build_postings, confo
 from postledger.operators.fingerprint import build_manifest, fingerprint
 from postledger.operators.grain import smallest_per_key
 from postledger.plans import reports
-from postledger.plans.build import build_model, build_warehouse
+from postledger.plans.build import build_model, build_warehouse, rebuild_date
 from postledger.plans.land import land, landing_dir
 from postledger.plans.publish import (
     create_catalog,
@@ -60,7 +60,8 @@ SCRAPED = (
     "min_amount", "max_amount", "currency", "interval", "emails", "description",
 )
 # What each of a date's three files calls its columns: all of them, all backwards, and
-# without currency and interval but with one of its own.
+# without currency and interval but with one of its own. Files of the last kind end their
+# lines with a carriage return, too.
 HEADERS = (
     SCRAPED,
     SCRAPED[::-1],
@@ -91,6 +92,7 @@ def _part(index: int):
 def _scrape_lines(scraped: DataFrame) -> DataFrame:
     rows = scraped.withColumns({"file": F.col("_source_file"), "benefits": F.lit("dental")})
     kinds = [csv_line(*[F.col(c) for c in header]) for header in HEADERS]
+    kinds[2] = F.concat(kinds[2], F.lit("\r"))
     short = csv_line(*[F.col(c) for c in SCRAPED[:SHORT]])
     line = (
         F.when(_part(0) & (F.col("_order") % 13 == 0), short)
@@ -102,6 +104,7 @@ def _scrape_lines(scraped: DataFrame) -> DataFrame:
 def _write_order_scrapes(spark: SparkSession, sf_dir: str, scraped: DataFrame, directory: str) -> None:
     lines = _scrape_lines(scraped)
     kinds = [header_of(header) for header in HEADERS]
+    kinds[2] = F.concat(kinds[2], F.lit("\r"))
     headers = file_headers(lines, F.when(_part(0), kinds[0]).when(_part(1), kinds[1]).otherwise(kinds[2]))
     columns = ("id", "job_url")
     derived = reprocessed_lines(spark, sf_dir).select(
@@ -314,6 +317,22 @@ def _model(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, "model", sf_dir, lambda d: build_model(landed, d))
 
 
+def rebuild_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One date of the observations rebuilt from rows landed again."""
+
+    def make(directory: str) -> None:
+        landed = landed_orders(spark, sf_dir).filter(F.col("job_url").isNotNull())
+        build_model(landed, directory)
+        again = landed.withColumn("title", F.concat(F.lit("Again "), F.col("title")))
+        for _ in range(2):
+            rebuild_date(again, directory, AGAIN)
+
+    fact = read_table(spark, _once(spark, "rebuilt", sf_dir, make), FACT_OBSERVATION)
+    return fact.groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("title").startswith("Again ")).alias("again")
+    )
+
+
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.table_counts(read_model(spark, _model(spark, sf_dir)))
 
@@ -498,6 +517,7 @@ QUERIES: dict[str, Query] = {
     "read_landed": read_landed_rows,
     "read_landed_json": read_landed_lines,
     "json_extract": json_extract,
+    "rebuild_date": rebuild_one_date,
     "table_counts": table_counts,
     "warehouse_counts": warehouse_counts,
     "contract_columns": contract_columns,

@@ -55,65 +55,53 @@ def _text(column: Column) -> Column:
     return column.cast("string")
 
 
-def _pick(index: Column, *choices) -> Column:
-    if not any(isinstance(c, Column) for c in choices):
-        return F.array(*[F.lit(c).cast("string") for c in choices])[(index % len(choices)).cast("int")]
-    picked = F.when(F.lit(False), F.lit(None).cast("string"))
-    for i, choice in enumerate(choices):
-        picked = picked.when(index % len(choices) == i, choice)
-    return picked
+_PLACE = "array({})[CAST(k % {} AS int)]".format(
+    ", ".join("NULL" if text is None else f"'{text}'" for text in LOCATIONS), len(LOCATIONS)
+)
 
 
 def scraped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a scraped row, the sensitive and unused columns included."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    day = F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd")
-    price = _text(F.floor("o_totalprice"))
-    base = F.concat(F.lit("Acme "), _text(c % 97))
-    scrape_date = F.date_format(F.trunc(F.to_date("o_orderdate"), "quarter"), "yyyy-MM-dd")
-    return orders.select(
-        F.when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(F.lit("cb-acme-"), _text(c % 97)))
-        .otherwise(F.concat(F.lit("p-"), _text(k))).alias("id"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "indeed")
-        .when(F.col("o_orderpriority") == "2-HIGH", "linkedin")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "careerbeacon")
-        .when(F.col("o_orderpriority") == "5-LOW", "company:workday")
-        .otherwise("company:greenhouse").alias("site"),
-        F.when(k % 503 == 0, None).when(k % 501 == 0, "")
-        .otherwise(F.concat(F.lit("https://jobs.example/"), _text(c))).alias("job_url"),
-        F.concat(F.lit("Engineer "), _text(k % 11)).alias("title"),
-        _pick(
-            k, base, F.concat(base, F.lit(" Inc.")), F.upper(base), F.concat(base, F.lit(", LLC.")),
-            F.concat(base, F.lit(" Canada")), "   ", None,
-        ).alias("company"),
-        F.replace(_pick(k, *LOCATIONS), F.lit("#"), _text(c % 50)).alias("location"),
-        _pick(
-            k, day, F.concat(day, F.lit(" 00:00:00")), F.concat(day, F.lit("T09:15:00Z")), "", None,
-            F.concat(F.substring(day, 1, 4), F.lit("-13-01")),
-            F.concat(F.substring(day, 1, 4), F.lit("-02-30")), "yesterday",
-        ).alias("date_posted"),
-        _pick(k, "fulltime", "contract", "").alias("job_type"),
-        _pick(k, "True", "false", "", None).alias("is_remote"),
-        _pick(
-            k, price, F.concat(price, F.lit(".50")), F.concat(F.lit(" "), price, F.lit(" ")),
-            "0", "", None, "competitive", "nan", "1_000",
-        ).alias("min_amount"),
-        _pick(
-            k, price, "inf", "-inf", "1d", "1e400", "0x1p3", F.concat(price, F.lit("e1")), ".5", "5.", None,
-        ).alias("max_amount"),
-        _pick(c, "CAD", "USD", None).alias("currency"),
-        _pick(c, "yearly", "hourly").alias("interval"),
-        scrape_date.alias("_ingest_date"),
-        F.concat(
-            F.lit("scrape-results-"), scrape_date, F.lit("-part"), _text(k % 3), F.lit("-"),
-            _text(F.floor(k / ORDERS_PER_SHARD)), F.lit(".csv"),
-        ).alias("_source_file"),
-        F.concat(F.lit("recruiter"), _text(c), F.lit("@mail.example")).alias("emails"),
-        F.concat(
-            F.lit("Line one of "), _text(k), F.lit('\nline two, with a comma and a "quote"')
-        ).alias("description"),
-        k.alias("_order"),
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "o_orderkey AS k",
+        "o_custkey AS c",
+        "o_orderpriority AS priority",
+        "CAST(CAST(o_orderdate AS date) AS string) AS day",
+        "CAST(trunc(CAST(o_orderdate AS date), 'quarter') AS string) AS quarter",
+        "CAST(floor(o_totalprice) AS string) AS price",
+        "concat('Acme ', o_custkey % 97) AS base",
+    )
+    return orders.selectExpr(
+        "CASE WHEN priority = '3-MEDIUM' THEN concat('cb-acme-', c % 97) ELSE concat('p-', k) END AS id",
+        """CASE priority WHEN '1-URGENT' THEN 'indeed' WHEN '2-HIGH' THEN 'linkedin'
+             WHEN '3-MEDIUM' THEN 'careerbeacon' WHEN '5-LOW' THEN 'company:workday'
+             ELSE 'company:greenhouse' END AS site""",
+        """CASE WHEN k % 503 = 0 THEN NULL WHEN k % 501 = 0 THEN ''
+             ELSE concat('https://jobs.example/', c) END AS job_url""",
+        "concat('Engineer ', k % 11) AS title",
+        """CASE k % 7 WHEN 0 THEN base WHEN 1 THEN concat(base, ' Inc.') WHEN 2 THEN upper(base)
+             WHEN 3 THEN concat(base, ', LLC.') WHEN 4 THEN concat(base, ' Canada')
+             WHEN 5 THEN '   ' END AS company""",
+        f"replace({_PLACE}, '#', CAST(c % 50 AS string)) AS location",
+        """CASE k % 8 WHEN 0 THEN day WHEN 1 THEN concat(day, ' 00:00:00') WHEN 2 THEN concat(day, 'T09:15:00Z')
+             WHEN 3 THEN '' WHEN 5 THEN concat(left(day, 4), '-13-01')
+             WHEN 6 THEN concat(left(day, 4), '-02-30') WHEN 7 THEN 'yesterday' END AS date_posted""",
+        "CASE k % 3 WHEN 0 THEN 'fulltime' WHEN 1 THEN 'contract' ELSE '' END AS job_type",
+        "CASE k % 4 WHEN 0 THEN 'True' WHEN 1 THEN 'false' WHEN 2 THEN '' END AS is_remote",
+        """CASE k % 9 WHEN 0 THEN price WHEN 1 THEN concat(price, '.50') WHEN 2 THEN concat(' ', price, ' ')
+             WHEN 3 THEN '0' WHEN 4 THEN '' WHEN 6 THEN 'competitive' WHEN 7 THEN 'nan'
+             WHEN 8 THEN '1_000' END AS min_amount""",
+        """CASE k % 10 WHEN 0 THEN price WHEN 1 THEN 'inf' WHEN 2 THEN '-inf' WHEN 3 THEN '1d'
+             WHEN 4 THEN '1e400' WHEN 5 THEN '0x1p3' WHEN 6 THEN concat(price, 'e1') WHEN 7 THEN '.5'
+             WHEN 8 THEN '5.' END AS max_amount""",
+        "CASE c % 3 WHEN 0 THEN 'CAD' WHEN 1 THEN 'USD' END AS currency",
+        "CASE c % 2 WHEN 0 THEN 'yearly' ELSE 'hourly' END AS interval",
+        "quarter AS _ingest_date",
+        f"""concat('scrape-results-', quarter, '-part', k % 3, '-', k div {ORDERS_PER_SHARD}, '.csv')
+             AS _source_file""",
+        "concat('recruiter', c, '@mail.example') AS emails",
+        """concat('Line one of ', k, '\\nline two, with a comma and a "quote"') AS description""",
+        "k AS _order",
     )
 
 

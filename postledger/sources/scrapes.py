@@ -88,8 +88,8 @@ def ingest_dates(paths: Sequence[str], pattern: str = SCRAPE_GLOB) -> list[str]:
     return sorted({_date_of(path, pattern) for path in paths})
 
 
-def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
-    """Paths by header line.
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, str], list[str]]:
+    """Paths by header line and the line end that follows it.
 
     Runs one short task per file, or per block of a large one, each of which stops after
     the first batch of lines; the files are not read through. Comes to the driver as one
@@ -108,7 +108,7 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
     try:
         # A file that costs as much to open as a task may read is a task of its own.
         spark.conf.set(opening, spark.conf.get("spark.sql.files.maxPartitionBytes"))
-        lines = spark.read.text(list(paths)).select(
+        lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
             file_name().alias("name"),
             F.col("_metadata.file_block_start").alias("start"),
             F.col("value").alias("header"),
@@ -116,20 +116,23 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
         first = lines.mapInArrow(first_line, lines.schema).filter("start = 0").collect()
     finally:
         spark.conf.set(opening, before)
-    by_name = {row.name: row.header.removeprefix("\ufeff").rstrip("\r") for row in first}
-    found: dict[str, list[str]] = {}
+    by_name = {row.name: row.header.removeprefix("\ufeff") for row in first}
+    found: dict[tuple[str, str], list[str]] = {}
     for path in paths:
-        header = by_name.get(_name(path))
+        header, returned, rest = by_name.get(_name(path), "").partition("\r")
         if not header:
             raise ScrapeError(f"no header row: {_name(path)}")
-        found.setdefault(header, []).append(path)
+        line_end = "\n" if not returned else "\r" if rest else "\r\n"
+        found.setdefault((header, line_end), []).append(path)
     return found
 
 
 def _read_alike(
-    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multi_line: bool
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], line_end: str, multi_line: bool
 ) -> DataFrame:
-    """Rows of files that share one header, with the number of fields each row has.
+    """Rows of files that share header and line end, and whether each is wider than the header.
+
+    The line end is named, since Spark otherwise rewrites those within quotes.
 
     Spark reads an empty field and a missing one as NULL alike. A row that is not as wide
     as the header comes with its text, which is parsed again with a mark behind it: the
@@ -147,7 +150,9 @@ def _read_alike(
     any_length = F.char_length(F.coalesce(F.col(cells[0]), F.lit(""))) >= 0
     rows = (
         spark.read.schema(schema)
-        .options(header=True, multiLine=multi_line, columnNameOfCorruptRecord="_odd", **dialect)
+        .options(
+            header=True, multiLine=multi_line, lineSep=line_end, columnNameOfCorruptRecord="_odd", **dialect
+        )
         .csv(list(paths))
         .select(*cells, file_name().alias("_source_file"), F.when(any_length, F.col("_odd")).alias("_odd"))
         .withColumn("_wide", F.col("_odd").isNotNull() & (F.coalesce(place, F.lit(0)) == 0))
@@ -178,13 +183,13 @@ def read_scrapes(
     fields than their header: ``"fail"`` names the file, ``"drop"`` leaves them out,
     ``"only"`` gives nothing but them.
 
-    Files are read once per distinct header, a task per file: a quoted field may hold line
+    Files are read once per distinct header and line end, a task per file: a quoted field may hold line
     ends, so only a reader that starts at the top of a file knows where rows end. Where no
     field does, ``multi_line=False`` lets several tasks share a large file.
     """
     parts = [
-        _read_alike(spark, group, next(csv.reader([header])), multi_line)
-        for header, group in headers(spark, paths).items()
+        _read_alike(spark, group, next(csv.reader([header])), line_end, multi_line)
+        for (header, line_end), group in headers(spark, paths).items()
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if wide_rows == "fail":

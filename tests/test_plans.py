@@ -79,6 +79,11 @@ def test_one_date_reads_one_partition(spark, model):
     assert "ReadSchema: struct<job_url:string>" in text
 
 
+def test_rebuilding_a_date_reads_one_partition(rows):
+    text = plan(build_observations(rows.filter(F.col("_ingest_date") == "2026-08-03")))
+    assert re.search(r"PartitionFilters: \[.*ingest_date.* = 2026-08-03", text)
+
+
 def test_generated_code_stays_small_enough_to_be_compiled(spark, rows):
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")

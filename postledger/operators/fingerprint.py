@@ -9,8 +9,12 @@ from postledger.fixed_values import SENSITIVE_COLUMNS
 from postledger.functions import strip_blanks
 
 
+# Where a landed row keeps its digest.
+DIGEST = "_digest"
+
+
 def row_digest(columns: Sequence[str]) -> Column:
-    """Sixty bits of the SHA-256 of a row, as a decimal that sums without overflow.
+    """Sixty bits of the SHA-256 of a row, as a long.
 
     Every value is written with its length, NULL as "~", so no two rows read alike.
     """
@@ -20,25 +24,33 @@ def row_digest(columns: Sequence[str]) -> Column:
         cell = F.concat(F.lit(f"{name}="), F.char_length(text).cast("string"), F.lit(":"), text)
         cells.append(F.coalesce(cell, F.lit(f"{name}=~")))
     digest = F.sha2(F.concat_ws(";", *cells), 256)
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(38,0)")
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+def _sum(digest: Column) -> Column:
+    return F.sum(digest.cast("decimal(38,0)"))
 
 
 def fingerprint(columns: Sequence[str]) -> Column:
     """Aggregate that tells tables apart by content, whatever order their rows are in."""
-    return F.coalesce(F.sum(row_digest(columns)), F.lit(0)).cast("string")
+    return F.coalesce(_sum(row_digest(columns)), F.lit(0)).cast("string")
 
 
 def build_manifest(landed: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """One row per landed ingest date: rows, distinct URLs, files and fingerprint.
 
+    Digests that were landed with the rows are summed as they are; then this reads three
+    narrow columns. Otherwise they are taken from all columns here.
+
     With ``dates`` (``ingest_date``) also a row for each of them that has no rows. The
     first aggregate is one row per file before it is shuffled. Distinct URLs are counted
     from (date, URL) pairs, so no task holds the URLs of a whole date.
     """
     contents = [c for c in landed.columns if c != "ingest_date"]
+    digest = F.col(DIGEST) if DIGEST in contents else row_digest(contents)
     files = (
         landed.groupBy("ingest_date", "_source_file")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(row_digest(contents)).alias("digest"))
+        .agg(F.count(F.lit(1)).alias("rows"), _sum(digest).alias("digest"))
         .groupBy("ingest_date")
         .agg(
             F.sum("rows").alias("rows"),

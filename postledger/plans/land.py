@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postledger.fixed_values import SCRAPE_GLOB
-from postledger.operators.fingerprint import build_manifest
+from postledger.operators.fingerprint import DIGEST, build_manifest, row_digest
 from postledger.plans.write import empty_partition
 from postledger.sources.scrapes import ingest_dates, raw_scrape_paths, read_scrapes
 
@@ -40,13 +40,16 @@ def land(
     ``storage`` is ``"parquet"`` or, for readers of text, ``"json"``: gzipped JSON lines.
 
     A scrape file belongs to one date, so rows go from the task that parses them straight
-    to their partition, without a shuffle.
+    to their partition, without a shuffle. Their digests are taken on the way, so the
+    manifest does not read the wide columns again.
     """
     paths = raw_scrape_paths(spark, source_dir, pattern, only_date)
     dates = ingest_dates(paths, pattern)
     rows = read_scrapes(spark, paths, pattern, wide_rows, multi_line)
     if storage == "json":
         rows = rows.withColumn("_ingest_date", F.col("ingest_date").cast("string"))
+    else:
+        rows = rows.withColumn(DIGEST, row_digest([c for c in rows.columns if c != "ingest_date"]))
     seen = Observation(f"landed-{uuid4().hex}")
     with_rows = F.collect_set(F.col("ingest_date").cast("string")).alias("dates")
     _overwrite(rows.observe(seen, with_rows), landing_dir(root), storage)

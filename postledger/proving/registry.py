@@ -44,6 +44,7 @@ from postledger.schemas import (
     DIM_LOCATION,
     DIM_SOURCE,
     FACT_OBSERVATION,
+    FACT_POSTING,
 )
 from postledger.sources.landed import landed_fields, read_landed, read_landed_json
 from postledger.sources.model import read_model, read_table
@@ -368,13 +369,14 @@ def null_violations_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The observations of all sites against the dimensions of one."""
-    landed = landed_orders(spark, sf_dir)
-    known = landed.filter(F.col("site") == "indeed")
+    known = landed_orders(spark, sf_dir).filter(
+        (F.col("site") == "indeed") & F.col("job_url").isNotNull()
+    )
     tables = {
         DIM_COMPANY.name: build_dim_company(known),
         DIM_LOCATION.name: build_dim_location(known),
         DIM_SOURCE.name: build_dim_source(known),
-        FACT_OBSERVATION.name: build_observations(landed),
+        FACT_OBSERVATION.name: read_table(spark, _model(spark, sf_dir), FACT_OBSERVATION),
     }
     return reference_violations(tables, FACT_OBSERVATION)
 
@@ -460,38 +462,45 @@ def derived_new_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.derived_new_urls(landed_orders(spark, sf_dir), reprocessed_lines(spark, sf_dir))
 
 
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _model(spark, sf_dir), FACT_OBSERVATION)
+
+
+def _posted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _model(spark, sf_dir), FACT_POSTING)
+
+
 def open_on_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = read_table(spark, _model(spark, sf_dir), FACT_OBSERVATION)
-    return reports.open_on_date(fact, AGAIN)
+    return reports.open_on_date(_observed(spark, sf_dir), AGAIN)
 
 
 def open_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.open_by_date(observations(spark, sf_dir))
+    return reports.open_by_date(_observed(spark, sf_dir))
 
 
 def weekly_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.weekly_churn(postings(spark, sf_dir))
+    return reports.weekly_churn(_posted(spark, sf_dir))
 
 
 def days_visible_dist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.days_visible_distribution(postings(spark, sf_dir))
+    return reports.days_visible_distribution(_posted(spark, sf_dir))
 
 
 def days_visible_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.days_visible_summary(postings(spark, sf_dir))
+    return reports.days_visible_summary(_posted(spark, sf_dir))
 
 
 def salary_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.salary_changes(observations(spark, sf_dir))
+    return reports.salary_changes(_observed(spark, sf_dir))
 
 
 def salary_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.salary_profile(observations(spark, sf_dir))
+    return reports.salary_profile(_observed(spark, sf_dir))
 
 
 def postings_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = landed_orders(spark, sf_dir)
-    return reports.postings_by_region(build_postings(build_observations(landed)), build_dim_location(landed))
+    dim_location = read_table(spark, _model(spark, sf_dir), DIM_LOCATION)
+    return reports.postings_by_region(_posted(spark, sf_dir), dim_location)
 
 
 QUERIES: dict[str, Query] = {

@@ -8,12 +8,16 @@ from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from postledger.fixed_values import DERIVED_MARKERS, INGEST_DATE_PATTERN, SCRAPE_GLOB, SENSITIVE_COLUMNS
 
+# Up to this many bytes a file is read through to find its header: starting a worker to
+# read only its first lines takes as long.
+SMALL_FILE = 16 * 1024 * 1024
+
 # A character no scrape holds, written behind a row to see where the row ends.
 _END = "\x01"
 
@@ -91,10 +95,33 @@ def ingest_dates(paths: Sequence[str], pattern: str = SCRAPE_GLOB) -> list[str]:
 def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, str], list[str]]:
     """Paths by header line and the line end that follows it.
 
-    Runs one short task per file, or per block of a large one, each of which stops after
-    the first batch of lines; the files are not read through. Comes to the driver as one
-    entry per file, like the listing it completes. Fails on a file without a header.
+    Comes to the driver as one entry per file, like the listing it completes. Small files
+    are read through, many to a task. Of large ones only the first lines are. Fails on a
+    file without a header.
     """
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
+        file_name().alias("name"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.col("value").alias("header"),
+    )
+    small = lines.filter((F.col("size") <= SMALL_FILE) & (F.col("start") == 0))
+    in_order = small.withColumn("at", F.monotonically_increasing_id())
+    first = in_order.groupBy("name").agg(F.min_by("header", "at").alias("header")).collect()
+    first += _first_lines(spark, lines.filter(F.col("size") > SMALL_FILE))
+    by_name = {row.name: row.header.removeprefix("\ufeff") for row in first}
+    found: dict[tuple[str, str], list[str]] = {}
+    for path in paths:
+        header, returned, rest = by_name.get(_name(path), "").partition("\r")
+        if not header:
+            raise ScrapeError(f"no header row: {_name(path)}")
+        line_end = "\n" if not returned else "\r" if rest else "\r\n"
+        found.setdefault((header, line_end), []).append(path)
+    return found
+
+
+def _first_lines(spark: SparkSession, lines: DataFrame) -> list[Row]:
+    """The first line of each file, by one task per block that stops after some lines."""
 
     # Defined here, so that it travels by value and workers need not have this package.
     def first_line(batches):
@@ -108,23 +135,9 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, str],
     try:
         # A file that costs as much to open as a task may read is a task of its own.
         spark.conf.set(opening, spark.conf.get("spark.sql.files.maxPartitionBytes"))
-        lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
-            file_name().alias("name"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.col("value").alias("header"),
-        )
-        first = lines.mapInArrow(first_line, lines.schema).filter("start = 0").collect()
+        return lines.mapInArrow(first_line, lines.schema).filter("start = 0").collect()
     finally:
         spark.conf.set(opening, before)
-    by_name = {row.name: row.header.removeprefix("\ufeff") for row in first}
-    found: dict[tuple[str, str], list[str]] = {}
-    for path in paths:
-        header, returned, rest = by_name.get(_name(path), "").partition("\r")
-        if not header:
-            raise ScrapeError(f"no header row: {_name(path)}")
-        line_end = "\n" if not returned else "\r" if rest else "\r\n"
-        found.setdefault((header, line_end), []).append(path)
-    return found
 
 
 def _read_alike(

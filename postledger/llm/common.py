@@ -31,6 +31,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or one like it, that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def only_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is among ``ids``; NULL ids match each other."""
+    chosen = ids.select(F.col(id_col).alias("chosen")).distinct()
+    return docs.join(chosen, docs[id_col].eqNullSafe(chosen["chosen"]), "left_semi")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """How many partitions the session asks of a shuffle."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -67,3 +81,80 @@ def shingle_hashes(words: list[bytes], length: int, seed: int = 42) -> np.ndarra
     """XXH64 of every shingle."""
     count = max(len(words) - length + 1, min(len(words), 1))
     return np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, length), repeat(seed)), np.uint64, count)
+
+
+def units(text: str) -> list[str]:
+    """``text`` cut before every blank that follows a character which is none.
+
+    No token of a byte-level pre-tokenizer reaches over such a place, so units are encoded
+    each by itself, and repeated ones only once.
+    """
+    pieces = text.split(" ")
+    if len(pieces) == 1:
+        return [text] if text else []
+    out: list[str] = []
+    open_piece = pieces[0]
+    for piece in pieces[1:]:
+        if open_piece and not open_piece[-1].isspace():
+            out.append(open_piece)
+            open_piece = " " + piece
+        else:
+            open_piece += " " + piece
+    out.append(open_piece)
+    return out
+
+
+def gathered(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Positions of all elements of runs that begin at ``starts`` and hold ``counts`` elements."""
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - (ends - counts), counts)
+
+
+class UnitStore:
+    """Ids of units that were encoded before, in one flat array. Forgets all when it is full."""
+
+    def __init__(self, encode, most_chars: int = 12_000_000):
+        """``encode`` gives a list of id sequences for a list of units."""
+        self.encode, self.most_chars = encode, most_chars
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.chars = 0
+        self.flat, self.starts, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one behind the other, and how many each has."""
+        cut = [units(text) for text in texts]
+        new = set().union(*cut) - self.place.keys()
+        size = sum(map(len, new))
+        if self.place and self.chars + size > self.most_chars:
+            self.clear()
+            new = set().union(*cut)
+            size = sum(map(len, new))
+        if new:
+            found = self.encode(list(new))
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            begin = len(self.flat)
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+            self.starts = np.concatenate([self.starts, begin + np.cumsum(counts) - counts])
+            self.counts = np.concatenate([self.counts, counts])
+            self.flat = np.concatenate([self.flat, *(np.asarray(x, np.int32) for x in found)])
+            self.chars += size
+        places = [np.fromiter(map(self.place.__getitem__, u), np.int64, len(u)) for u in cut]
+        every = np.concatenate(places) if places else np.zeros(0, np.int64)
+        per_text = np.array([int(self.counts[p].sum()) for p in places], np.int64)
+        return self.flat[gathered(self.starts[every], self.counts[every])], per_text
+
+
+def in_slices(texts: list[str], chars: int = 2_000_000) -> Iterator[list[str]]:
+    """The texts in order, some at a time, so that what is made of them stays small."""
+    begin = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= chars:
+            yield texts[begin : i + 1]
+            begin, size = i + 1, 0
+    if begin < len(texts):
+        yield texts[begin:]

@@ -7,18 +7,50 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postledger.llm import chat_format, exact_dedup, mixing, url_filter
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+
+from postledger.llm import bpe, chat_format, exact_dedup, mixing, multiset_hash, quality, simhash, suffix_dedup, token_store, url_filter
 from postledger.llm.common import shuffle_partitions, table, written
 from postledger.storage import scratch_dir
 
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SimHash and the group it is linked with."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
+
+
+def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, and its edited text's."""
+    return multiset_hash.fingerprints_and_edits(table(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, rule and verdict."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), RULES)
 
 
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document's ids are in the written shards, and their checksum, read from there."""
+    path = scratch_dir(spark, "token-shards")
+    token_store.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
+    return token_store.stored(spark, path).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation's turns and trained text, read back from what was written."""
     said = "'<|im_end|><|im_start|>assistant ok'"
@@ -43,11 +75,37 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that repeat."""
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def token_digests(tokens: DataFrame) -> DataFrame:
+    """Count and digests of ids and decoded text: (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(1)
+            flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))
+            joined = [",".join(map(str, flat[b:e].tolist())) for b, e in zip(np.r_[0, ends[:-1]], ends, strict=True)]
+            digests = [[hashlib.sha256(x.encode()).hexdigest() for x in texts] for texts in (joined, batch.column(2).to_pylist())]
+            counts = pa.array(ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), counts, *map(pa.array, digests)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return tokens.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids and decoded text, as digests."""
+    path = public_tokenizers.path(TOKENIZER)
+    return token_digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's group of equal texts, against an index that starts empty."""
     index = exact_dedup.DigestIndex(spark, scratch_dir(spark, "digest-index"), buckets=shuffle_partitions(spark))
@@ -55,9 +113,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
+    "op2_multiset_hash": op2_multiset_hash,
+    "op3_quality": op3_quality,
     "op4_url_filter": op4_url_filter,
+    "op5_token_store": op5_token_store,
     "op6_chat_format": op6_chat_format,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_mixing": op8_mixing,
+    "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

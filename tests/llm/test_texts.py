@@ -1,0 +1,346 @@
+"""Operators that work on texts in Python, against brute force."""
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from postledger.llm import bpe, components, multiset_hash, quality, simhash, suffix_dedup, token_store
+from postledger.llm.common import UnitStore, units
+from tests.llm.rows import documents, odd_rows
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(TOKENIZER)
+
+
+@pytest.fixture(scope="module")
+def own():
+    with open(TOKENIZER, "rb") as file:
+        return bpe.ByteBpe(file.read())
+
+
+PIECES = st.sampled_from(
+    [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u3000", "\u200b", "'s", "'LL", "a", "é", "ß", "漢", "😀", "1", "½", "!", "..", "the", " and", "aaaa",
+     "<|endoftext|>", "<|", "\r\n", "\x00", "ก็", "אב", "Ⅷ", "_", "-"]
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.lists(PIECES, max_size=12).map("".join), st.text(max_size=30)), max_size=5))
+def test_bpe_equals_the_library(own, library, texts):
+    texts = [t for t in texts if t.isprintable() or t.encode("utf-8", "ignore").decode() == t]
+    assert all("".join(units(t)) == t for t in texts)
+    ids, counts = UnitStore(own.encode_units).ids(texts)
+    ends = np.cumsum(counts)
+    for text, begin, end in zip(texts, np.r_[0, ends][: len(texts)], ends, strict=True):
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert ids[begin:end].tolist() == expected
+        assert own.decode(ids[begin:end]) == library.decode(expected, skip_special_tokens=False) == text
+
+
+def test_bpe_long_words(own, library):
+    draw = random.Random(1)
+    words = ["a" * 5000, "ab" * 3000, "".join(draw.choice("etaoin") for _ in range(4000)), "!?" * 900]
+    assert [x.tolist() for x in own.merge([w.encode() for w in words])] == [library.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_bpe_decodes_broken_bytes(own, library):
+    for ids in ([own.byte_ids[0xE6]], [own.byte_ids[0xE6], 50256, own.byte_ids[0xBC]], [50256, 50256], [], [10**6, -3, 40]):
+        known = [int(i) for i in ids if 0 <= i < own.size]
+        assert own.decode(np.array(ids, np.int64)) == library.decode(known, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("clashing", [False, True])
+def test_bpe_on_tables(spark, library, clashing):
+    rows = odd_rows()
+    found = bpe.decode(bpe.encode(documents(spark, rows, clashing), TOKENIZER), TOKENIZER).collect()
+    expected = Counter((i, tuple(library.encode(t or "", add_special_tokens=False).ids), t or "") for i, t, _ in rows)
+    assert Counter((r.doc_id, tuple(r.ids), r.text) for r in found) == expected
+    assert bpe.encode(documents(spark, []), TOKENIZER).collect() == []
+
+
+def test_store_forgets_when_full(library):
+    store = UnitStore(lambda found: [x.ids for x in library.encode_batch(found, add_special_tokens=False)], most_chars=40)
+    for text in ("one two three", "four five six seven eight nine ten", "one two " * 30):
+        ids, counts = store.ids([text, ""])
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids and counts.tolist() == [len(ids), 0]
+
+
+def fingerprint_by_bits(text):
+    words = (text or "").encode().lower().split()
+    grams = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes)) if hashes else 0
+
+
+def linked(values, max_bits):
+    """Components by comparing all pairs."""
+    root = {v: v for v in values}
+    for a in values:
+        for b in values:
+            if bin(a ^ b).count("1") <= max_bits and root[a] != root[b]:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {k: new if r == old else r for k, r in root.items()}
+    return root
+
+
+@pytest.mark.parametrize("clashing", [False, True])
+def test_simhash(spark, clashing):
+    rows = odd_rows()
+    found = simhash.near_duplicates(documents(spark, rows, clashing)).collect()
+    prints = [fingerprint_by_bits(t) for _, t, _ in rows]
+    root = linked(sorted(set(prints)), 2)
+    least = defaultdict(lambda: None)
+    for (i, _, _), p in zip(rows, prints, strict=True):
+        if i is not None:
+            least[root[p]] = i if least[root[p]] is None else min(i, least[root[p]])
+    expected = Counter((i, f"{p:016x}", least[root[p]]) for (i, _, _), p in zip(rows, prints, strict=True))
+    assert Counter(tuple(r) for r in found) == expected
+    assert simhash.near_duplicates(documents(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 2, 4])
+@pytest.mark.parametrize("tree_size", [4, 1000])
+def test_links_connect_what_is_near(spark, max_bits, tree_size):
+    draw = random.Random(max_bits)
+    values = {draw.getrandbits(64) for _ in range(20)}
+    for v in list(values):
+        for _ in range(draw.randint(0, 8)):
+            for _ in range(draw.randint(1, 3)):
+                v ^= 1 << draw.randrange(64)
+            values.add(v)
+    signed = [(v - (v >> 63 << 64),) for v in values]
+    edges = simhash.links(spark.createDataFrame(signed, "fingerprint long"), max_bits, tree_size)
+    assert all(1 <= bin((r.a ^ r.b) & (2**64 - 1)).count("1") for r in edges.collect())
+    groups = defaultdict(set)
+    for r in components.components(edges).collect():
+        groups[r.root].add(r.node % 2**64)
+    expected = defaultdict(set)
+    for v, r in linked(sorted(values), max_bits).items():
+        expected[r].add(v)
+    assert sorted(map(sorted, groups.values())) == sorted(sorted(g) for g in expected.values() if len(g) > 1)
+
+
+def test_bk_tree_finds_all_within(spark):
+    draw = np.random.default_rng(2)
+    values = np.unique(draw.integers(0, 1 << 12, 300, np.uint64))
+    tree = simhash.BkTree(values)
+    assert all(np.bitwise_count(values[c] ^ values[i]) == d for i, own in enumerate(tree.children) for d, c in own.items())
+    a, b = tree.within(values, 2)
+    pairs = {(i, j) for i in range(len(values)) for j in range(len(values)) if np.bitwise_count(values[i] ^ values[j]) <= 2}
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == pairs
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 100)] + [(5000, 5000), (6000, 6001), (6001, 6000)]
+    groups = defaultdict(set)
+    for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect():
+        groups[r.root].add(r.node)
+    assert sorted(map(len, groups.values())) == [2, 100, 201] and all(root in group for root, group in groups.items())
+
+
+def test_fingerprints_add_up():
+    f = multiset_hash.fingerprint
+    assert f("a b\nc d\ne") == f("e\na b\nc d") and f("a b\na b") != f("a b") and f("a\nb") != f("ab")
+    assert multiset_hash.after_edit(f("a b\nc d"), ["c d"], ["x y z", "e"]) == f("e\nx y z\na b")
+    assert f("a b") - f("a b") == f("") == f(None)
+    assert multiset_hash.Fingerprint.from_hex(f("x y\nz").hex()) == f("x y\nz")
+    draw = random.Random(4)
+    texts = ["\n".join(" ".join(draw.choice("abcdefghijklmnopqrst") * 3 for _ in range(9)) for _ in range(60)) for _ in range(3)]
+    half = texts[0][: len(texts[0]) // 2] + texts[1][: len(texts[0]) // 2]
+    assert f(texts[0]).likeness(f(texts[0])) == 1 and f(texts[0]).likeness(f(half)) > 0.3
+
+
+@pytest.mark.parametrize("clashing", [False, True])
+def test_edited_texts(spark, clashing):
+    import hashlib
+
+    rows = odd_rows()
+    found = multiset_hash.fingerprints_and_edits(documents(spark, rows, clashing)).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _, _ in rows)
+    unique = [(i * 3 - 40, t) for i, (_, t, _) in enumerate(rows)]
+    found = {r.doc_id: r for r in multiset_hash.fingerprints_and_edits(documents(spark, unique, clashing)).collect()}
+    order = sorted(unique, reverse=True)
+    assert len(found) == len(unique)
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        text, after = text or "", after or ""
+        half = len(text) // 2
+        new = text[: len(text) - half] + after[:half]
+        r = found[i]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(new.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (multiset_hash.fingerprint(text).hex(), multiset_hash.fingerprint(new).hex())
+        assert r.near_next == multiset_hash.fingerprint(text).likeness(multiset_hash.fingerprint(after)) and 0 <= r.near_edited <= 1
+    one = multiset_hash.fingerprints_and_edits(documents(spark, [(1, "abcd")])).collect()
+    assert one[0].edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one[0].near_next == 1
+    assert multiset_hash.fingerprints_and_edits(documents(spark, [])).collect() == []
+
+
+def covered(texts, length):
+    """Bytes to remove, by looking at every string."""
+    seen = defaultdict(list)
+    for i, data in enumerate(texts):
+        for s in range(len(data) - length + 1):
+            seen[data[s : s + length]].append((i, s))
+    gone = [np.zeros(len(data), bool) for data in texts]
+    for places in seen.values():
+        if len(places) > 1:
+            for i, s in places:
+                gone[i][s : s + length] = True
+    return gone
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_suffix_dedup(spark, seed):
+    draw = random.Random(seed)
+    length, gram = [(8, 3), (20, 7), (33, 16)][seed % 3]
+    letters = ["ab", "abcdefgh", "aé"][seed // 2]
+    base = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 120))) for _ in range(5)]
+    rows = [(0, None), (1, ""), (2, "ab" * 60), (3, "ab" * 60)]
+    for i in range(4, 24):
+        text = ""
+        for _ in range(draw.randint(0, 3)):
+            part = draw.choice(base)
+            begin = draw.randint(0, len(part))
+            text += part[begin:] if draw.random() < 0.5 else part + draw.choice("xyz")
+        rows.append((i, text))
+    rows += [rows[5], (None, rows[6][1]), (None, "q" * 50), (6, "other " + base[0])]
+    found = suffix_dedup.remove_repeats(documents(spark, rows, clashing=seed % 2 == 1), length, gram).collect()
+    texts = [(t or "").encode() for _, t in rows]
+    expected = Counter()
+    for (i, _), data, gone in zip(rows, texts, covered(texts, length), strict=True):
+        spans = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
+        expected[i, data, bytes(np.frombuffer(data, np.uint8)[~gone]), int(gone.sum()), spans] += 1
+    assert Counter((r.doc_id, bytes(r["data"]), bytes(r.kept), r.n_removed, r.n_spans) for r in found) == expected
+
+
+def test_suffix_dedup_of_nothing(spark):
+    assert suffix_dedup.remove_repeats(documents(spark, [])).collect() == []
+    assert [r.n_removed for r in suffix_dedup.remove_repeats(documents(spark, [(1, "short"), (1, "short")])).collect()] == [0, 0]
+
+
+def test_loser_tree_compares_no_known_prefix(monkeypatch):
+    asked = []
+    real = suffix_dedup.common_prefix
+    monkeypatch.setattr(suffix_dedup, "common_prefix", lambda a, b, start=0: asked.append(start) or real(a, b, start))
+    draw = random.Random(9)
+    runs = [sorted(b"p" * 30 + bytes(draw.choices(b"ab", k=6)) for _ in range(20)) for _ in range(5)]
+    coded = [suffix_dedup.front_coded((s,) for s in run) for run in runs]
+    asked.clear()
+    merged = list(suffix_dedup.LoserTree(coded))
+    assert [e[1] for e in merged] == sorted(s for run in runs for s in run)
+    assert all(e[0] == real(a[1], e[1]) for a, e in zip(merged, merged[1:], strict=False))
+    assert asked.count(0) <= len(runs) and len(asked) < 5 * len(merged)
+
+
+def test_perfect_hash_is_minimal():
+    hashes = np.array([xxhash.xxh64_intdigest(str(i), 0) for i in range(5000)], np.uint64)
+    perfect = token_store.PerfectHash.build(hashes)
+    assert sorted(perfect.slots(hashes).tolist()) == list(range(5000))
+    again = token_store.PerfectHash.from_bytes(perfect.to_bytes())
+    assert (again.slots(hashes) == perfect.slots(hashes)).all()
+    assert sum(map(len, perfect.levels)) < 6 * 5000
+
+
+@pytest.mark.parametrize("width", [2, 4])
+@pytest.mark.parametrize("clashing", [False, True])
+def test_token_shards(spark, library, tmp_path, width, clashing):
+    rows, path = odd_rows(), str(tmp_path / "shards")
+    token_store.write_tokens(documents(spark, rows, clashing), path, TOKENIZER, width)
+    index = token_store.read_index(spark, path, width)
+    found = sorted(token_store.in_corpus(index).collect(), key=lambda r: r.start)
+    ids = [r.id for r in found]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0)) and Counter(ids) == Counter(i for i, _, _ in rows)
+    start = 0
+    for r in found:
+        assert r.start == start
+        start += r.n_tokens
+    expected = Counter()
+    for i, text, _ in rows:
+        tokens = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        expected[i, len(tokens), zlib.crc32(tokens.tobytes())] += 1
+    assert Counter((r.id, r.n_tokens, r.ids_crc32) for r in found) == expected
+    wanted = spark.createDataFrame([(3,), (7,), (9,), (12345,), (None,)], "doc_id long")
+    fetched = token_store.fetch(spark, path, wanted, token_store.manifest(index), width).collect()
+    texts = defaultdict(list)
+    for i, text, _ in rows:
+        texts[i].append([*library.encode(text or "", add_special_tokens=False).ids, 0])
+    assert Counter((r.doc_id, tuple(r.ids)) for r in fetched) == Counter((i, tuple(t)) for i in (3, 7, 9) for t in texts[i])
+
+
+def test_token_shards_of_nothing(spark, tmp_path):
+    path = str(tmp_path / "none")
+    token_store.write_tokens(documents(spark, []), path, TOKENIZER)
+    assert token_store.in_corpus(token_store.read_index(spark, path)).collect() == []
+
+
+def quality_rows():
+    draw = random.Random(8)
+    words = ["the", "of", "house", "river", "and", "slowly", "window", "garden", "ran", "was"]
+    rows, labels = [], []
+    for i in range(300):
+        good = i % 3 > 0
+        text = [draw.choice(words) if good else draw.choice(words).upper() + "!!" for _ in range(draw.randint(20, 400))]
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(good)))
+    return rows, labels
+
+
+def test_quality_learns_from_labels(spark):
+    rows, labels = quality_rows()
+    odd = [(None, None), (900, ""), (901, None), (902, "word " * 30_000), (5, rows[5][1])]
+    docs = documents(spark, rows + odd, clashing=True)
+    known = spark.createDataFrame([*labels, (5, 1), (None, 1), (7, None), (8, 0), (8, 1)], "doc_id long, quality int")
+    model = quality.fit(docs, known)
+    found = quality.score(docs, model).collect()
+    assert len(found) == len(rows + odd)
+    wanted = dict(labels)
+    for r in found:
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+    held = [r for r in found if r.held_out and r.doc_id in wanted]
+    assert len(held) > 30 and sum(r.predicted == wanted[r.doc_id] for r in held) >= 0.95 * len(held)
+    again = quality.score(docs, quality.fit(docs, known)).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, found))
+
+
+def test_quality_without_labels(spark):
+    docs = documents(spark, [(1, "a"), (2, "b")])
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in quality.score(docs, quality.fit(docs, none)).collect()} == {0.5}
+    one = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, quality int")
+    assert {r.score for r in quality.score(docs, quality.fit(docs, one)).collect()} == {1.0}
+    assert quality.score(documents(spark, []), quality.fit(documents(spark, []), none)).collect() == []
+
+
+def test_quality_gradients():
+    """The gradients of the attention model, against differences."""
+    draw = np.random.default_rng(0)
+    counts, labels = np.array([2, 1, 3]), np.array([1.0, 0.0, 1.0])
+    x = draw.normal(size=(6, quality.FEATURES))
+    shapes = {"E": (quality.FEATURES, 4), "e": (4,), "V": (4, 3), "U": (4, 3), "w": (3,), "c": (4,), "d": (1,)}
+    w = {k: draw.normal(0, 0.3, s) for k, s in shapes.items()}
+
+    def loss():
+        p = quality._forward(w, x, counts)["score"]
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+
+    for k, g in quality._gradients(w, x, counts, labels, 0.0).items():
+        for at in list(np.ndindex(w[k].shape))[:6]:
+            before = w[k][at]
+            w[k][at] = before + 1e-5
+            up = loss()
+            w[k][at] = before - 1e-5
+            down = loss()
+            w[k][at] = before
+            assert g[at] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-6)

@@ -21,6 +21,9 @@ from postledger.llm.common import UnitStore, gathered, in_slices, process_cache,
 # Fixed value: how byte-level vocabularies of this kind cut a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# Marks behind a word; one or more of them are a word of their own.
+_CLOSING = ".,;:!?*&%$#"
+
 _NEVER = np.iinfo(np.int64).max
 
 
@@ -31,6 +34,41 @@ def byte_letters() -> list[str]:
     return [chr(b if b in shown else next(others)) for b in range(256)]
 
 
+def cut_words(found: list[str], words: regex.Pattern, marks: regex.Pattern | None, added: dict[str, int]) -> tuple[list[list[int]], list[str]]:
+    """For each unit its distinct words by place, added tokens as -1 - id; and the words.
+
+    ``marks`` splits a text at the added tokens, which are cut out before words are.
+    """
+    place: dict[str, int] = {}
+    parts: list[list[int]] = []
+    # A blank, letters and closing marks are words as they stand, where no added token is made of such alone.
+    plain = all(any(not (c.isalpha() or c in " " + _CLOSING) for c in token) for token in added)
+    for unit in found:
+        core = unit.rstrip(_CLOSING)
+        if plain and (core[1:] if core[:1] == " " else core).isalpha():
+            own = [place.setdefault(core, len(place))]
+            if len(core) < len(unit):
+                own.append(place.setdefault(unit[len(core) :], len(place)))
+        elif marks and marks.search(unit):
+            own = []
+            for i, piece in enumerate(marks.split(unit)):
+                own += [-1 - added[piece]] if i % 2 else [place.setdefault(w, len(place)) for w in words.findall(piece)]
+        else:
+            own = [place.setdefault(w, len(place)) for w in words.findall(unit)]
+        parts.append(own)
+    return parts, list(place)
+
+
+def joined_words(parts: list[list[int]], ids: list[bytes], added) -> list[bytes]:
+    """The ids of units, from those of their words and ``added`` for added tokens."""
+    return [ids[own[0]] if len(own) == 1 and own[0] >= 0 else b"".join([ids[p] if p >= 0 else added(-1 - p) for p in own]) for own in parts]
+
+
+def mark_pattern(added: dict[str, int]) -> regex.Pattern | None:
+    """Finds added tokens, the longest first."""
+    return regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+
+
 class ByteBpe:
     """A byte-level BPE vocabulary with its merges, read from a tokenizer file."""
 
@@ -70,7 +108,7 @@ class ByteBpe:
         self.lengths = np.fromiter(map(len, pieces), np.int64, self.size)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.words = regex.compile(WORDS)
-        self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
+        self.marks = mark_pattern(self.added)
 
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged id of pairs; rank ``_NEVER`` where there is no merge."""
@@ -79,9 +117,9 @@ class ByteBpe:
         known = self.keys[at] == keys
         return np.where(known, self.ranks[at], _NEVER), self.merged[at]
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word."""
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as bytes of 32-bit numbers."""
+        out = [b""] * len(words)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         symbols = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words)), lengths)
@@ -97,8 +135,9 @@ class ByteBpe:
             counts = np.diff(np.r_[begins, len(symbols)])
             least = np.minimum.reduceat(ranks, begins)
             done = least == _NEVER
-            for b, n in zip(begins[done].tolist(), counts[done].tolist(), strict=True):
-                out[word[b]] = symbols[b : b + n]
+            data = symbols.astype("<i4").tobytes()
+            for w, b, n in zip(word[begins[done]].tolist(), (4 * begins[done]).tolist(), (4 * counts[done]).tolist(), strict=True):
+                out[w] = data[b : b + n]
             keep = np.repeat(~done, counts)
             symbols, word, ranks, merged = symbols[keep], word[keep], ranks[keep], merged[keep]
             if not len(symbols):
@@ -121,21 +160,10 @@ class ByteBpe:
             stale = np.flatnonzero(changed[~gone])
         return out
 
-    def encode_units(self, found: list[str]) -> list[np.ndarray]:
-        """The ids of each unit of a text (see ``units``)."""
-        place: dict[str, int] = {}
-        parts: list[list[int]] = []  # of a unit: words by place, added tokens as -1 - id
-        for unit in found:
-            pieces = self.marks.split(unit) if self.marks else [unit]
-            parts.append([])
-            for i, piece in enumerate(pieces):
-                if i % 2:
-                    parts[-1].append(-1 - self.added[piece])
-                else:
-                    parts[-1] += [place.setdefault(w, len(place)) for w in self.words.findall(piece)]
-        ids = self.merge([w.encode() for w in place])
-        single = [[np.array([-1 - p]) if p < 0 else ids[p] for p in own] for own in parts]
-        return [own[0] if len(own) == 1 else np.concatenate(own) if own else np.zeros(0, np.int64) for own in single]
+    def encode_units(self, found: list[str]) -> list[bytes]:
+        """The ids of each unit of a text (see ``units``), as bytes of 32-bit numbers."""
+        parts, words = cut_words(found, self.words, self.marks, self.added)
+        return joined_words(parts, self.merge([w.encode() for w in words]), lambda i: i.to_bytes(4, "little"))
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD, ids of no token nothing."""
@@ -175,8 +203,9 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         for batch in batches:
             at = 0
             for texts in in_slices(batch.column(1).to_pylist()):
-                ids, counts = store.ids(texts)
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(ids.astype(np.int32)))
+                found = store.ids(texts)
+                ends = np.cumsum([0, *map(len, found)]) // 4
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(found), np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), lists], [id_col, "ids"])
                 at += len(texts)
 

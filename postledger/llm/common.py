@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Iterator
@@ -83,72 +84,66 @@ def shingle_hashes(words: list[bytes], length: int, seed: int = 42) -> np.ndarra
     return np.fromiter(map(xxhash.xxh64_intdigest, shingles(words, length), repeat(seed)), np.uint64, count)
 
 
+_BLANK_BEFORE_SPACE = re.compile(r"\s ")
+_CUT = re.compile(r"(?<=\S)(?= )")
+
+
 def units(text: str) -> list[str]:
-    """``text`` cut before every blank that follows a character which is none.
+    """``text`` cut before every space that follows a character which is no blank.
 
     No token of a byte-level pre-tokenizer reaches over such a place, so units are encoded
     each by itself, and repeated ones only once.
     """
-    pieces = text.split(" ")
-    if len(pieces) == 1:
-        return [text] if text else []
-    out: list[str] = []
-    open_piece = pieces[0]
-    for piece in pieces[1:]:
-        if open_piece and not open_piece[-1].isspace():
-            out.append(open_piece)
-            open_piece = " " + piece
-        else:
-            open_piece += " " + piece
-    out.append(open_piece)
-    return out
-
-
-def gathered(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Positions of all elements of runs that begin at ``starts`` and hold ``counts`` elements."""
-    ends = np.cumsum(counts)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(starts - (ends - counts), counts)
+    return _CUT.split(text) if text else []
 
 
 class UnitStore:
-    """Ids of units that were encoded before, in one flat array. Forgets all when it is full."""
+    """Ids of units that were encoded before. Forgets all when it is full."""
 
-    def __init__(self, encode, most_chars: int = 12_000_000):
-        """``encode`` gives a list of id sequences for a list of units."""
+    def __init__(self, encode, most_chars: int = 8_000_000):
+        """``encode`` gives the ids of each unit of a list, as bytes."""
         self.encode, self.most_chars = encode, most_chars
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
         self.chars = 0
-        self.flat, self.starts, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one behind the other, and how many each has."""
-        cut = [units(text) for text in texts]
-        new = set().union(*cut) - self.place.keys()
-        size = sum(map(len, new))
-        if self.place and self.chars + size > self.most_chars:
+        self.whole: dict[str, bytes] = {}
+        # Most units are a space and what follows; these are kept by the latter.
+        self.spaced: dict[str, bytes] = {}
+
+    def _learn(self, plain: list[str], spaced: list[str]) -> None:
+        kept = self.encode([*plain, *(" " + piece for piece in spaced)])
+        self.whole.update(zip(plain, kept, strict=False))
+        self.spaced.update(zip(spaced, kept[len(plain) :], strict=True))
+        self.chars += sum(map(len, plain)) + sum(map(len, spaced))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as bytes."""
+        cut: list[tuple[list[str], list[str]]] = []  # units as they are, and then pieces behind a space
+        for text in texts:
+            if _BLANK_BEFORE_SPACE.search(text) or text.startswith(" "):
+                cut.append((units(text), []))
+            else:
+                pieces = text.split(" ")
+                cut.append((pieces[:1] if text else [], pieces[1:]))
+        if self.chars > self.most_chars:
             self.clear()
-            new = set().union(*cut)
-            size = sum(map(len, new))
-        if new:
-            found = self.encode(list(new))
-            counts = np.fromiter(map(len, found), np.int64, len(found))
-            begin = len(self.flat)
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
-            self.starts = np.concatenate([self.starts, begin + np.cumsum(counts) - counts])
-            self.counts = np.concatenate([self.counts, counts])
-            self.flat = np.concatenate([self.flat, *(np.asarray(x, np.int32) for x in found)])
-            self.chars += size
-        places = [np.fromiter(map(self.place.__getitem__, u), np.int64, len(u)) for u in cut]
-        every = np.concatenate(places) if places else np.zeros(0, np.int64)
-        per_text = np.array([int(self.counts[p].sum()) for p in places], np.int64)
-        return self.flat[gathered(self.starts[every], self.counts[every])], per_text
-
-
-def in_slices(texts: list[str], chars: int = 2_000_000) -> Iterator[list[str]]:
+        plain = {u for own, _ in cut for u in own if u not in self.whole}
+        spaced = {u for _, own in cut for u in own if u not in self.spaced}
+        if plain or spaced:
+            self._learn(list(plain), list(spaced))
+        whole, behind = self.whole.__getitem__, self.spaced.__getitem__
+        return [b"".join([*map(whole, own), *map(behind, rest)]) for own, rest in cut]
+
+
+def gathered(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Positions of all elements of runs that begin at ``starts`` and hold ``counts`` elements."""
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - (ends - counts), counts)
+
+
+def in_slices(texts: list[str], chars: int = 250_000) -> Iterator[list[str]]:
     """The texts in order, some at a time, so that what is made of them stays small."""
     begin = size = 0
     for i, text in enumerate(texts):

@@ -24,6 +24,7 @@ import json
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -32,10 +33,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from postledger.llm.bpe import ByteBpe, byte_letters, cut_words, joined_words
 from postledger.llm.common import UnitStore, in_slices, process_cache, shuffle_partitions, text_or_empty, written
 
 FOOTER = "<QQQQQQ8s"
-MAGIC = b"PLTOKEN1"
+MAGIC = b"PLTOKEN1"  # little-endian throughout
 MAX_LEVELS = 48
 SHARD_BYTES = 64 * 1024 * 1024
 
@@ -160,22 +162,33 @@ class Shard:
         return np.frombuffer(self.content, f"<u{self.width}", end - begin, begin * self.width)
 
 
-def _library(content) -> UnitStore:
+def _library(content, width: int) -> UnitStore:
     """Encodes with the tokenizers library, each distinct unit once."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     cache = process_cache("tokenizers")
-    if content.value not in cache:
+    if (content.value, width) not in cache:
         tokenizer = Tokenizer.from_buffer(content.value)
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        byte_level = ByteBpe(content.value)
+        letters = dict(enumerate(byte_letters()))
 
-        def encode(found: list[str]) -> list[list[int]]:
-            return [x.ids for x in tokenizer.encode_batch_fast(found, add_special_tokens=False)]
+        def packed(ids: list[int]) -> bytes:
+            if ids and max(ids) >= 1 << (8 * width):
+                raise ValueError(f"ids need more than {width} bytes")
+            return array("H" if width == 2 else "I", ids).tobytes()
 
-        cache[content.value] = UnitStore(encode)
-    return cache[content.value]
+        def encode(found: list[str]) -> list[bytes]:
+            # A unit is cut to words here, so that the library's model merges each word once.
+            parts, words = cut_words(found, byte_level.words, byte_level.marks, byte_level.added)
+            named = [w.encode().decode("latin-1").translate(letters) for w in words]
+            ids = [packed([token.id for token in tokenizer.model.tokenize(w)]) for w in named]
+            return joined_words(parts, ids, lambda i: packed([i]))
+
+        cache[content.value, width] = UnitStore(encode)
+    return cache[content.value, width]
 
 
 def write_tokens(
@@ -200,18 +213,13 @@ def write_tokens(
     ordered = spread.sortWithinPartitions(F.col("id").asc_nulls_first()).select("id", "text")
 
     def run(batches):
-        store = _library(content)
+        store = _library(content, width)
         keys, counts = [], []
         for batch in batches:
             keys += batch.column(0).to_pylist()
             for texts in in_slices(batch.column(1).to_pylist()):
-                ids, lengths = store.ids(texts)
-                if len(ids) and int(ids.max()) >= 1 << (8 * width):
-                    raise ValueError(f"ids need more than {width} bytes")
-                data = ids.astype(f"<u{width}").tobytes()
-                ends = np.cumsum(lengths) * width
-                parts = [data[b:e] for b, e in zip(np.r_[0, ends[:-1]], ends, strict=True)]
-                counts += (lengths + 1).tolist()
+                parts = store.ids(texts)
+                counts += [len(part) // width + 1 for part in parts]
                 yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["value"])
         if keys:
             yield pa.RecordBatch.from_arrays([pa.array([build_index(keys, counts)], pa.binary())], ["value"])

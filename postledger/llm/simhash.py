@@ -134,7 +134,9 @@ def links(distinct: DataFrame, max_bits: int, tree_size: int = TREE_SIZE) -> Dat
             out.append(pd.DataFrame({"a": own[root[moved]], "b": own[moved]}))
         return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
 
-    found = dealt.groupBy("shard").applyInPandas(connect, "a long, b long")
+    # Little data but much work: a number of partitions that adaptive execution leaves alone.
+    spread = dealt.repartition(shuffle_partitions(distinct.sparkSession), "shard")
+    found = spread.groupBy("shard").applyInPandas(connect, "a long, b long")
     if large is None:
         return found
     crowded = placed.join(large.select("block", "value"), ["block", "value"], "left_semi").select("fingerprint").distinct()

@@ -12,12 +12,15 @@ place. So it is enough to sort the suffixes that begin at anchors, with what sta
 3. Each partition merges its runs with a loser tree that keeps, for each run, how long a prefix
    its suffix shares with the last one given out. Two suffixes are compared from there on only,
    and not at all where these lengths differ.
+   A gram that very many documents share would put them all into one partition. Its strings are
+   counted by 128-bit digests instead, which partial aggregates spread over all tasks.
 4. Suffixes that share a prefix of ``r`` bytes, and ``l`` bytes before their anchors, repeat each
    other over ``l + r`` bytes, which are removed where that is ``length`` at least.
 """
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -32,6 +35,8 @@ from pyspark.sql import functions as F
 from postledger.llm.common import process_cache, shuffle_partitions, written
 
 LENGTH, GRAM = 400, 160
+# A gram that more documents than this have is not merged in one partition.
+CROWD = 50_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _PLACE_BITS = 24
 
@@ -245,7 +250,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return named.repartition(shuffle_partitions(docs.sparkSession), "key", "check")
 
 
-def repeated_ranges(texts: DataFrame, length: int, gram: int) -> DataFrame:
+def repeated_ranges(texts: DataFrame, length: int, gram: int, crowd: int = CROWD) -> DataFrame:
     """Byte ranges to remove, (key, check, begin, end), of the texts that ``_keyed`` gives."""
     parts = 2 * shuffle_partitions(texts.sparkSession)
     # Strings of an anchor begin at most ``length - 1`` bytes before it.
@@ -253,21 +258,35 @@ def repeated_ranges(texts: DataFrame, length: int, gram: int) -> DataFrame:
     low = (1 << bits) - 1
 
     def find(batches):
+        """Anchors: a place is the anchor's, what its strings span, and whether the document has the gram further on."""
         for batch in batches:
             for key, check, data in zip(*(batch.column(i).to_pylist() for i in (1, 2)), batch.column(3), strict=True):
                 grams, at, first, last = anchors(data.as_py(), length, gram)
                 if len(at):
-                    places = at << 2 * bits | at - first << bits | at - last
+                    again = np.ones(len(at), np.int64)
+                    again[np.unique(grams, return_index=True)[1]] = 0
+                    places = (at << 2 * bits | at - first << bits | at - last) << 1 | again
                     names = [pa.array(np.full(len(at), x, np.int64)) for x in (key, check)]
                     yield pa.RecordBatch.from_arrays([pa.array(grams), *names, pa.array(places)], ["gram", "key", "check", "place"])
 
     found = written(texts.mapInArrow(find, "gram long, key long, check long, place long"), "anchors")
-    shared = found.groupBy("gram").agg(F.count("*").alias("held")).filter("held > 1").select("gram")
-    # A set, since equal rows have one name.
-    own = found.join(shared, "gram").groupBy("key", "check").agg(F.collect_set(F.struct("gram", "place")).alias("anchors"))
-
-    def make_runs(batches):
-        """A front-coded run for each partition of anchors; equal suffixes of the task come as one."""
+    documents = F.sum(1 - F.col("place").bitwiseAND(F.lit(1)))
+    # Written, so that the join with it shuffles both sides and a gram that many share can be split.
+    shared = written(
+        found.groupBy("gram").agg(F.count("*").alias("held"), documents.alias("documents")).filter("held > 1").select("gram", "documents"), "shared-grams"
+    )
+
+    def with_anchors(grams: DataFrame) -> DataFrame:
+        """The texts with those of their anchors that have one of the grams.
+
+        All columns of the texts are read, so that their exchange is the one that the caller
+        reads too. Anchors are a set, since equal rows have one name.
+        """
+        own = found.join(grams.select("gram"), "gram").groupBy("key", "check").agg(F.collect_set(F.struct("gram", "place")).alias("anchors"))
+        return texts.join(own, ["key", "check"]).select("id", "key", "check", "data", "anchors")
+
+    def distinct_suffixes(batches):
+        """The task's suffixes by gram, (from the anchor on, before it) to (name, anchor), and ranges of those that have a twin here."""
         held: dict[int, dict[tuple[bytes, bytes], list]] = {}
         done: dict[int, list[tuple]] = {}
         row = 0
@@ -277,20 +296,30 @@ def repeated_ranges(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 row += 1
                 data = data.as_py()
                 for anchor in found_here:
-                    part, place = anchor["gram"] % parts, anchor["place"]
+                    own, place = anchor["gram"], anchor["place"] >> 1
                     at = place >> 2 * bits
                     first, last = at - (place >> bits & low), at - (place & low)
                     suffix, before = data[at : last + length], data[first:at]
-                    known = held.setdefault(part, {}).setdefault((suffix, before), [name, at, False, row])
+                    known = held.setdefault(own, {}).setdefault((suffix, before), [name, at, False, row])
                     if known[3] != row or known[1] != at:
-                        done.setdefault(part, []).append((*name, first, last + length))
+                        done.setdefault(own, []).append((*name, first, last + length))
                         if not known[2]:
                             known[2] = True
-                            done[part].append((*known[0], known[1] - len(before), known[1] + len(suffix)))
+                            done[own].append((*known[0], known[1] - len(before), known[1] + len(suffix)))
+        return held, done
+
+    def make_runs(batches):
+        """A front-coded run for each partition of anchors; equal suffixes of the task come as one."""
+        held, done = distinct_suffixes(batches)
+        by_part: dict[int, tuple[list, list]] = {}
+        for own, suffixes in held.items():
+            entries, ranges = by_part.setdefault(own % parts, ([], []))
+            entries += [(*place, *rest[:3]) for place, rest in suffixes.items()]
+            ranges += done.get(own, [])
         pack = zstandard.ZstdCompressor(level=1)
-        for part, suffixes in held.items():
-            run = front_coded((*place, *rest[:3]) for place, rest in sorted(suffixes.items(), key=lambda x: x[0]))
-            data = pack.compress(pickle.dumps((run, done.get(part, [])), protocol=5))
+        for part, (entries, ranges) in by_part.items():
+            entries.sort(key=lambda x: x[:2])
+            data = pack.compress(pickle.dumps((front_coded(entries), ranges), protocol=5))
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([data], pa.binary())], ["part", "run"])
 
     def merge_runs(rows: pd.DataFrame) -> pd.DataFrame:
@@ -315,9 +344,32 @@ def repeated_ranges(texts: DataFrame, length: int, gram: int) -> DataFrame:
         close()
         return pd.DataFrame(out, columns=["key", "check", "begin", "end"], dtype="int64")
 
-    # Reads all columns of the texts, so that their exchange is the one that the caller reads too.
-    runs = texts.join(own, ["key", "check"]).select("id", "key", "check", "data", "anchors").mapInArrow(make_runs, "part int, run binary")
-    return runs.groupBy("part").applyInPandas(merge_runs, "key long, check long, begin long, end long")
+    runs = with_anchors(shared.filter(F.col("documents") <= crowd)).mapInArrow(make_runs, "part int, run binary")
+    ranges = runs.groupBy("part").applyInPandas(merge_runs, "key long, check long, begin long, end long")
+    crowded = shared.filter(F.col("documents") > crowd)
+    if crowded.isEmpty():
+        return ranges
+
+    def make_strings(batches):
+        """Ranges of suffixes with a twin in the task, and a digest of each string of the distinct ones."""
+        names = ["digest", "key", "check", "begin", "end"]
+        held, done = distinct_suffixes(batches)
+        for own, suffixes in held.items():
+            rows = [(None, *known) for known in done.get(own, [])]
+            for (suffix, before), (name, at, _, _) in suffixes.items():
+                whole, start = before + suffix, at - len(before)
+                for s in range(len(whole) - length + 1):
+                    digest = hashlib.blake2b(whole[s : s + length], digest_size=16).digest()
+                    rows.append((digest, *name, start + s, start + s + length))
+            columns = zip(*rows, strict=True)
+            kinds = [pa.binary(), *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names)
+
+    strings = with_anchors(crowded).mapInArrow(make_strings, "digest binary, key long, check long, begin long, end long")
+    strings = written(strings, "crowded-strings")
+    again = written(strings.groupBy("digest").agg(F.count("*").alias("held")).filter("held > 1").select("digest"), "crowded-digests")
+    known = strings.filter("digest IS NULL").unionByName(strings.join(again, "digest"))
+    return ranges.union(known.select("key", "check", "begin", "end"))
 
 
 def cut(data: bytes, ranges: Iterable[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -335,7 +387,9 @@ def cut(data: bytes, ranges: Iterable[tuple[int, int]]) -> tuple[bytes, int, int
     return b"".join([*kept, data[at:]]), gone, spans
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """Whole texts without their repeated bytes: (id, data, kept, n_removed, n_spans), texts as UTF-8 bytes.
 
     A byte goes if a string of ``length`` bytes that covers it starts anywhere else too, in the
@@ -347,7 +401,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     """
     texts = _keyed(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
-    found = repeated_ranges(texts, length, gram)
+    found = repeated_ranges(texts, length, gram, crowd)
     ranges = found.groupBy("key", "check").agg(F.collect_set(F.struct("begin", "end")).alias("ranges"))
 
     def run(batches):

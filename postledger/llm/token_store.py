@@ -183,7 +183,10 @@ def _library(content, width: int) -> UnitStore:
         def encode(found: list[str]) -> list[bytes]:
             # A unit is cut to words here, so that the library's model merges each word once.
             parts, words = cut_words(found, byte_level.words, byte_level.marks, byte_level.added)
-            named = [w.encode().decode("latin-1").translate(letters) for w in words]
+            # Printable ASCII stands for itself, but for the space.
+            named = [
+                w.replace(" ", letters[32]) if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(letters) for w in words
+            ]
             ids = [packed([token.id for token in tokenizer.model.tokenize(w)]) for w in named]
             return joined_words(parts, ids, lambda i: packed([i]))
 
@@ -217,7 +220,7 @@ def write_tokens(
         keys, counts = [], []
         for batch in batches:
             keys += batch.column(0).to_pylist()
-            for texts in in_slices(batch.column(1).to_pylist()):
+            for texts in in_slices(batch.column(1).to_pylist(), 60_000):
                 parts = store.ids(texts)
                 counts += [len(part) // width + 1 for part in parts]
                 yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["value"])

@@ -4,11 +4,15 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from postledger.fixed_values import SCRAPE_GLOB
 from postledger.operators.fingerprint import DIGEST, build_manifest, row_digest
 from postledger.plans.write import empty_partition
-from postledger.sources.scrapes import ingest_dates, raw_scrape_paths, read_scrapes
+from postledger.sources.scrapes import by_date, raw_scrape_paths, read_scrapes
+
+# Files whose headers and paths the driver plans together.
+FILES_AT_ONCE = 10_000
 
 
 def landing_dir(root: str) -> str:
@@ -30,6 +34,7 @@ def land(
     wide_rows: str = "fail",
     multi_line: bool = True,
     storage: str = "parquet",
+    undecodable: str = "fail",
 ) -> DataFrame:
     """Land every scrape date found in ``source_dir``, or only one; their manifest.
 
@@ -41,28 +46,42 @@ def land(
 
     A scrape file belongs to one date, so rows go from the task that parses them straight
     to their partition, without a shuffle. Their digests are taken on the way, so the
-    manifest does not read the wide columns again.
+    manifest does not read the wide columns again. Some ``FILES_AT_ONCE`` files are landed at
+    a time, whole dates, so what the driver knows of them is bounded by that and by a day.
     """
-    paths = raw_scrape_paths(spark, source_dir, pattern, only_date)
-    dates = ingest_dates(paths, pattern)
-    rows = read_scrapes(spark, paths, pattern, wide_rows, multi_line)
+    dated = by_date(raw_scrape_paths(spark, source_dir, pattern, only_date), pattern)
+    dates = list(dated)
+    waiting: list[str] = []
+    for date in dates:
+        waiting += dated[date]
+        if len(waiting) >= FILES_AT_ONCE or date == dates[-1]:
+            _land_files(spark, waiting, root, pattern, wide_rows, multi_line, undecodable, storage)
+            waiting = []
+    # From what was committed, not from what was read.
+    stored = StructType([StructField("_source_file", StringType()), StructField("job_url", StringType()),
+                         StructField(DIGEST, LongType()), StructField("ingest_date", DateType())])
+    landed = spark.read.schema(stored).format(storage).load(landing_dir(root))
+    asked = spark.createDataFrame([(date,) for date in dates], "date string").select(
+        F.col("date").cast("date").alias("ingest_date")
+    )
+    # A date's row comes out of the aggregates in one task, so it is one small file.
+    _overwrite(build_manifest(landed.filter(F.col("ingest_date").isin(*dates)), asked), manifest_dir(root), "parquet")
+    return read_manifest(spark, root).filter(F.col("ingest_date").isin(*dates))
+
+
+def _land_files(
+    spark: SparkSession, paths: list[str], root: str, pattern: str, wide_rows: str, multi_line: bool, undecodable: str, storage: str
+) -> None:
+    """Replace the dates of ``paths``, which are all files of these dates."""
+    rows = read_scrapes(spark, paths, pattern, wide_rows, multi_line, undecodable)
     if storage == "json":
         rows = rows.withColumn("_ingest_date", F.col("ingest_date").cast("string"))
-    else:
-        rows = rows.withColumn(DIGEST, row_digest([c for c in rows.columns if c != "ingest_date"]))
+    rows = rows.withColumn(DIGEST, row_digest([c for c in rows.columns if c not in ("ingest_date", "_ingest_date")]))
     seen = Observation(f"landed-{uuid4().hex}")
     with_rows = F.collect_set(F.col("ingest_date").cast("string")).alias("dates")
     _overwrite(rows.observe(seen, with_rows), landing_dir(root), storage)
-    for date in set(dates) - set(seen.get["dates"]):
+    for date in set(by_date(paths, pattern)) - set(seen.get["dates"]):
         empty_partition(spark, rows.schema, landing_dir(root), "ingest_date", date, storage)
-    # From what was committed, not from what was read.
-    landed = spark.read.schema(rows.schema).format(storage).load(landing_dir(root))
-    asked = spark.createDataFrame([(date,) for date in dates], "date string").select(
-        F.col("date").cast("date").alias("ingest_date")
-    )
-    manifest = build_manifest(landed.filter(F.col("ingest_date").isin(*dates)), asked)
-    _overwrite(manifest.coalesce(1), manifest_dir(root), "parquet")
-    return read_manifest(spark, root).filter(F.col("ingest_date").isin(*dates))
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:

@@ -8,6 +8,10 @@ from postledger.schemas import LANDED
 from postledger.storage import path_exists
 
 
+# What Spark calls the JSON files that landing writes.
+JSON_FILES = "part-*.json.gz"
+
+
 def landed_fields(line: Column) -> Column:
     """The declared fields of a JSON line; a field it lacks, or a broken line, gives NULLs."""
     return F.from_json(line, LANDED)
@@ -39,10 +43,12 @@ def read_landed(spark: SparkSession, landing_dir: str) -> DataFrame:
 
 
 def read_landed_json(
-    spark: SparkSession, landing_dir: str, pattern: str = "*.ndjson.gz"
+    spark: SparkSession, landing_dir: str, pattern: str = JSON_FILES
 ) -> DataFrame:
     """Landed rows kept as JSON lines in files named by ``pattern``, in the declared fields.
 
+    The pattern is that of the files which landing writes, if none is given.
+
     A line that is no JSON is kept, as a row of NULLs.
     """
     _require_path(spark, landing_dir)

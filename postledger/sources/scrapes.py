@@ -7,19 +7,21 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from postledger.fixed_values import DERIVED_MARKERS, INGEST_DATE_PATTERN, SCRAPE_GLOB, SENSITIVE_COLUMNS
+from postledger.storage import qualified
 
-# Up to this many bytes a file is read through to find its header: starting a worker to
-# read only its first lines takes as long.
-SMALL_FILE = 16 * 1024 * 1024
+# A header that does not end within this many characters has a quote that is never closed.
+LONGEST_HEADER = 1 << 20
 
-# A character no scrape holds, written behind a row to see where the row ends.
-_END = "\x01"
+# Columns that landing itself gives; one of the same name in a file does not count.
+LINEAGE = ("_source_file", "_ingest_date", "ingest_date")
 
 
 class ScrapeError(RuntimeError):
@@ -49,25 +51,58 @@ def file_name() -> Column:
     return F.when(F.contains(name, F.lit("%")), plain).otherwise(name)
 
 
+def _literal(path: str) -> str:
+    """``path`` as a pattern that only fits itself."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def _plain(path: str) -> str:
+    """A path as written, from one that a reader gives."""
+    return re.sub("^file:/+", "file:/", unquote(path))
+
+
 def scrape_files(spark: SparkSession, source_dir: str, pattern: str = SCRAPE_GLOB) -> DataFrame:
-    """The files of ``source_dir`` that ``pattern`` names: name, size, and whether derived.
+    """The files right in ``source_dir`` that ``pattern`` names: name, size, and whether derived.
 
     Lists the one directory and opens no file.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(source_dir)
-    named = files.select(file_name().alias("file_name"), "path", F.col("length").alias("bytes"))
+    files = _named(spark, source_dir, pattern, "binaryFile")
+    parent = F.regexp_replace(F.regexp_extract("path", "^(.*)/[^/]*$", 1), "^file:/+", "file:/")
+    here = files.filter(parent == _directory(spark, source_dir))
+    named = here.select(file_name().alias("file_name"), "path", F.col("length").alias("bytes"))
     return named.withColumn("derived", is_derived(F.col("file_name")))
 
 
+def _named(spark: SparkSession, source_dir: str, pattern: str, storage: str) -> DataFrame:
+    """What ``pattern`` names in ``source_dir``, and what is in folders that it names.
+
+    The lookup is called recursive so that folders are not taken for partitions.
+    """
+    reader = spark.read.format(storage).option("recursiveFileLookup", "true")
+    try:
+        return reader.load(f"{_literal(source_dir)}/{pattern}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise ScrapeError(f"no scrape files under {source_dir}") from None
+
+
+def _directory(spark: SparkSession, source_dir: str) -> str:
+    return re.sub("^file:/+", "file:/", qualified(spark, source_dir)).rstrip("/")
+
+
 def raw_scrape_paths(
     spark: SparkSession, source_dir: str, pattern: str = SCRAPE_GLOB, only_date: str | None = None
 ) -> list[str]:
-    """Paths of the raw scrapes in ``source_dir``, or of one date's, sorted; empty files included.
+    """Paths of the raw scrapes right in ``source_dir``, or of one date's, sorted; empty files included.
 
-    Fails when there is none, and on a name without a date.
+    Files in folders below are not taken, whatever these are called. Fails when there is
+    none, and on a name without a date.
     """
-    listed = spark.read.option("pathGlobFilter", pattern).text(source_dir).inputFiles()
-    paths = sorted(path for path in map(unquote, listed) if not any(m in _name(path) for m in DERIVED_MARKERS))
+    here = _directory(spark, source_dir)
+    listed = _named(spark, source_dir, pattern, "text").inputFiles()
+    paths = sorted(path for path in map(_plain, listed) if path.rsplit("/", 1)[0] == here)
+    paths = [path for path in paths if not any(m in _name(path) for m in DERIVED_MARKERS)]
     dates = {path: _date_of(path, pattern) for path in paths}
     if only_date is not None:
         paths = [path for path in paths if dates[path] == only_date]
@@ -87,98 +122,135 @@ def _date_of(path: str, pattern: str) -> str:
     return match[1]
 
 
-def ingest_dates(paths: Sequence[str], pattern: str = SCRAPE_GLOB) -> list[str]:
-    """The distinct dates in the names of ``paths``, sorted; fails where a name has none."""
-    return sorted({_date_of(path, pattern) for path in paths})
+def by_date(paths: Sequence[str], pattern: str = SCRAPE_GLOB) -> dict[str, list[str]]:
+    """``paths`` by the date in their names, in order of dates; fails where a name has none."""
+    found: dict[str, list[str]] = {}
+    for path in sorted(paths, key=lambda path: (_date_of(path, pattern), path)):
+        found.setdefault(_date_of(path, pattern), []).append(path)
+    return found
 
 
-def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, str], list[str]]:
-    """Paths by header line and the line end that follows it.
+def first_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The first record of each file: (path, header, line_end).
 
-    Comes to the driver as one entry per file, like the listing it completes. Small files
-    are read through, many to a task. Of large ones only the first lines are. Fails on a
-    file without a header.
+    A file is a task, which stops behind the record, however large the file is. That takes
+    reading options of their own, so this runs in a session of its own.
     """
-    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
-        file_name().alias("name"),
-        F.col("_metadata.file_size").alias("size"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.col("value").alias("header"),
+    session = spark.newSession()
+    # A file that costs as much to open as a task may read is a task, and is not split.
+    session.conf.set("spark.sql.files.openCostInBytes", 1 << 40)
+    session.conf.set("spark.sql.files.maxPartitionBytes", 1 << 40)
+    session.conf.unset("spark.sql.files.maxPartitionNum")
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+    lines = session.read.option("lineSep", "\n").text([_literal(path) for path in paths]).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("line")
     )
-    small = lines.filter((F.col("size") <= SMALL_FILE) & (F.col("start") == 0))
-    in_order = small.withColumn("at", F.monotonically_increasing_id())
-    first = in_order.groupBy("name").agg(F.min_by("header", "at").alias("header")).collect()
-    first += _first_lines(spark, lines.filter(F.col("size") > SMALL_FILE))
-    by_name = {row.name: row.header.removeprefix("\ufeff") for row in first}
-    found: dict[tuple[str, str], list[str]] = {}
-    for path in paths:
-        header, returned, rest = by_name.get(_name(path), "").partition("\r")
-        if not header:
-            raise ScrapeError(f"no header row: {_name(path)}")
-        line_end = "\n" if not returned else "\r" if rest else "\r\n"
-        found.setdefault((header, line_end), []).append(path)
-    return found
-
-
-def _first_lines(spark: SparkSession, lines: DataFrame) -> list[Row]:
-    """The first line of each file, by one task per block that stops after some lines."""
+    longest = LONGEST_HEADER
 
     # Defined here, so that it travels by value and workers need not have this package.
-    def first_line(batches):
+    def end_of_record(text):
+        """Where the first line end outside of quotes is, or None."""
+        field, quoted, i = 0, False, 0
+        while i < len(text):
+            if quoted:
+                if text[i] == '"':
+                    if text[i + 1 : i + 2] == '"':
+                        i += 1
+                    else:
+                        quoted = False
+            elif text[i] == '"' and i == field:
+                quoted = True
+            elif text[i] == ",":
+                field = i + 1
+            elif text[i] in "\r\n":
+                return i
+            i += 1
+        return None
+
+    def first(batches):
+        import pyarrow as pa
+
+        path, text = None, ""
         for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
+            for name, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if name != path:
+                    path, text = name, ""
+                text += line.decode("utf-8", "replace") + "\n"
+                start = text.removeprefix("\ufeff")
+                end = end_of_record(start)
+                if end is None and len(text) > longest:
+                    end, start = 0, "\n"
+                if end is not None:
+                    line_end = "\r\n" if start[end : end + 2] == "\r\n" else start[end]
+                    yield pa.RecordBatch.from_pydict({"path": [path], "header": [start[:end]], "line_end": [line_end]})
+                    return
+
+    return lines.mapInArrow(first, "path string, header string, line_end string")
 
-    opening = "spark.sql.files.openCostInBytes"
-    before = spark.conf.get(opening)
-    try:
-        # A file that costs as much to open as a task may read is a task of its own.
-        spark.conf.set(opening, spark.conf.get("spark.sql.files.maxPartitionBytes"))
-        return lines.mapInArrow(first_line, lines.schema).filter("start = 0").collect()
-    finally:
-        spark.conf.set(opening, before)
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, str], list[str]]:
+    """Paths by header record and the line end that follows it.
+
+    Each distinct header comes to the driver once, with the paths of its files. Fails on a
+    file without a header.
+    """
+    found = first_records(spark, paths).groupBy("header", "line_end").agg(F.collect_list("path").alias("paths"))
+    grouped = {(row.header, row.line_end): sorted(map(_plain, row.paths)) for row in found.collect()}
+    known = {path for key, own in grouped.items() for path in own if key[0].strip()}
+    for path in paths:
+        in_full = path if ":" in path.split("/", 1)[0] else qualified(spark, path)
+        if re.sub("^file:/+", "file:/", in_full) not in known:
+            raise ScrapeError(f"no header row: {_name(path)}")
+    return {key: own for key, own in sorted(grouped.items())}
 
 
 def _read_alike(
-    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], line_end: str, multi_line: bool
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], line_end: str, multi_line: bool, marks: tuple[str, str]
 ) -> DataFrame:
-    """Rows of files that share header and line end, and whether each is wider than the header.
+    """Rows of files that share header and line end; ``marks`` name two more columns.
 
-    The line end is named, since Spark otherwise rewrites those within quotes.
+    The first says whether a row is wider than the header, the second whether it has
+    characters that stand for bytes which are no UTF-8. The line end is named, since Spark
+    otherwise rewrites those within quotes.
 
     Spark reads an empty field and a missing one as NULL alike. A row that is not as wide
-    as the header comes with its text, which is parsed again with a mark behind it: the
-    place of the mark is the row's width, and tells the empty fields from the missing.
+    as the header comes with its text, which is parsed again with one more cell behind it:
+    the place of that cell is the row's width, and tells the empty fields from the missing.
+    The cell is longer than the row, so it can be none of the row's own.
     """
     width = len(columns)
     cells = [f"_c{i}" for i in range(width)]
     schema = StructType([StructField(c, StringType()) for c in [*cells, "_odd"]])
     dialect = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}
-    # One column more than the widest row that may pass, so the mark of that row is seen.
-    marked = ", ".join(f"_c{i} STRING" for i in range(width + 1))
-    fields = F.from_csv(F.concat("_odd", F.lit(f",{_END}")), marked, {**dialect, "multiLine": "true"})
-    place = F.array_position(F.array(*[fields[f"_c{i}"] for i in range(width + 1)]), _END)
+    # One column more than the widest row that may pass, so the cell behind that row is seen.
+    one_more = ", ".join(f"_c{i} STRING" for i in range(width + 1))
+    behind = F.repeat(F.lit("x"), F.char_length("_odd") + 1)
+    fields = F.from_csv(F.concat("_odd", F.lit(","), behind), one_more, {**dialect, "multiLine": "true"})
     # Always true. Spark reads the text of odd rows only together with a proper column.
     any_length = F.char_length(F.coalesce(F.col(cells[0]), F.lit(""))) >= 0
+    place = F.array_position(F.array(*[F.col(f"_parsed._c{i}") for i in range(width + 1)]), F.col("_behind"))
     rows = (
         spark.read.schema(schema)
         .options(
             header=True, multiLine=multi_line, lineSep=line_end, columnNameOfCorruptRecord="_odd", **dialect
         )
-        .csv(list(paths))
-        .select(*cells, file_name().alias("_source_file"), F.when(any_length, F.col("_odd")).alias("_odd"))
-        .withColumn("_wide", F.col("_odd").isNotNull() & (F.coalesce(place, F.lit(0)) == 0))
-        .withColumn("_fields", F.when(F.col("_odd").isNull(), width).otherwise(place - 1))
+        .csv([_literal(path) for path in paths])
+        .select(*cells, file_name().alias("_file"), F.when(any_length, F.col("_odd")).alias("_odd"))
+        .select(*cells, "_file", "_odd", fields.alias("_parsed"), behind.alias("_behind"))
+        .select(*cells, "_file", "_odd", F.coalesce(place, F.lit(0)).alias("_place"))
     )
-    # Of columns that share a name the last one counts.
-    last = {name: i for i, name in enumerate(columns)}
+    odd = F.col("_odd").isNotNull()
+    wide = odd & (F.col("_place") == 0)
+    held = F.when(odd, F.col("_place") - 1).otherwise(width)
+    undecoded = F.concat_ws("", *cells).contains("\ufffd")
+    # Of columns that share a name the last one counts; upper and lower case are alike.
+    last = {name.lower(): i for i, name in enumerate(columns)}
     named = [
-        F.when((F.col("_fields") > i) | F.col("_wide"), F.coalesce(cells[i], F.lit(""))).alias(name)
+        F.when((held > i) | wide, F.coalesce(cells[i], F.lit(""))).alias(columns[i])
         for name, i in last.items()
-        if name not in SENSITIVE_COLUMNS
+        if name not in SENSITIVE_COLUMNS and name not in LINEAGE
     ]
-    return rows.select(*named, "_source_file", "_wide")
+    return rows.select(*named, F.col("_file").alias("_source_file"), wide.alias(marks[0]), undecoded.alias(marks[1]))
 
 
 def read_scrapes(
@@ -187,29 +259,36 @@ def read_scrapes(
     pattern: str = SCRAPE_GLOB,
     wide_rows: str = "fail",
     multi_line: bool = True,
+    undecodable: str = "fail",
 ) -> DataFrame:
-    """Every row of the raw scrapes ``paths``, columns matched by name.
+    """Every row of the raw scrapes ``paths``, columns matched by name, whatever its case.
 
     An empty field is ``""``; a field that a short row or a file's header lacks is NULL.
     Sensitive columns are left out here, before anything is written. ``_source_file`` and
     ``ingest_date`` say where a row came from. ``wide_rows`` decides about rows with more
     fields than their header: ``"fail"`` names the file, ``"drop"`` leaves them out,
-    ``"only"`` gives nothing but them.
+    ``"only"`` gives nothing but them. ``undecodable`` decides about rows with bytes that are
+    no UTF-8, which read as U+FFFD: ``"fail"`` names the file, ``"keep"`` takes them so.
 
     Files are read once per distinct header and line end, a task per file: a quoted field may hold line
     ends, so only a reader that starts at the top of a file knows where rows end. Where no
     field does, ``multi_line=False`` lets several tasks share a large file.
     """
+    wide, undecoded = marks = tuple(f"_mark_{uuid4().hex}" for _ in range(2))
     parts = [
-        _read_alike(spark, group, next(csv.reader([header])), line_end, multi_line)
+        _read_alike(spark, group, next(csv.reader([header], strict=False)), line_end, multi_line, marks)
         for (header, line_end), group in headers(spark, paths).items()
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def refused(mark: str, what: str) -> DataFrame:
+        error = F.concat(F.lit(f"{what}: "), F.col("_source_file"))
+        return rows.withColumn("_source_file", F.when(F.col(mark), F.raise_error(error)).otherwise(F.col("_source_file")))
+
+    if undecodable == "fail":
+        rows = refused(undecoded, "bytes that are no UTF-8")
     if wide_rows == "fail":
-        error = F.concat(F.lit("row has more fields than the header: "), F.col("_source_file"))
-        rows = rows.withColumn(
-            "_source_file", F.when(F.col("_wide"), F.raise_error(error)).otherwise(F.col("_source_file"))
-        )
+        rows = refused(wide, "row has more fields than the header")
     else:
-        rows = rows.filter(F.col("_wide") if wide_rows == "only" else ~F.col("_wide"))
-    return rows.drop("_wide").withColumn("ingest_date", ingest_date(F.col("_source_file"), pattern))
+        rows = rows.filter(F.col(wide) if wide_rows == "only" else ~F.col(wide))
+    return rows.drop(*marks).withColumn("ingest_date", ingest_date(F.col("_source_file"), pattern))

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _kept: list[tempfile.TemporaryDirectory] = []
@@ -12,16 +13,45 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new directory in the shared folder the session names in ``spark.checkpoint.dir``.
 
     Where none is named, as in tests on one machine, a temporary one that goes with the
-    process.
+    process. On a cluster each executor would write to a folder of its own there, so that
+    fails.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    require_local(spark.sparkContext.master)
     _kept.append(tempfile.TemporaryDirectory(prefix=f"{name}-"))
     return _kept[-1].name
 
 
+def require_local(master: str) -> None:
+    """Fail unless all tasks run on this machine, in this process."""
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` in full, as the file system names it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is there, on whatever file system it names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a new small file; False, and nothing done, where there is one already."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        stream = files.create(target, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True

@@ -7,7 +7,7 @@ def landed_row(url, day, site="indeed", **fields):
     row = dict.fromkeys(LANDED_FIELDS)
     row |= {
         "id": f"id-{url}", "site": site, "job_url": url, "title": "Software Engineer",
-        "company": "Acme Inc.", "location": "Halifax, NS, CA", "date_posted": day, "is_remote": "false",
+        "company": "Acme Inc.", "location": "Truro, NS, CA", "date_posted": day, "is_remote": "false",
         "_ingest_date": day, "_source_file": f"scrape-results-{day}-local-{site}.csv",
     }
     return row | {{"ingest_date": "_ingest_date", "source_file": "_source_file"}.get(k, k): v for k, v in fields.items()}

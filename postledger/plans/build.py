@@ -23,22 +23,25 @@ from postledger.schemas import (
     FACT_POSTING,
     Table,
 )
-from postledger.sources.landed import read_landed
+from postledger.sources.landed import read_landed, read_landed_json
 from postledger.sources.model import read_table
 
 
-def model_of(landed: DataFrame) -> dict[str, DataFrame]:
-    """The six tables of the model, by name, as one unevaluated query each."""
-    observations = build_observations(landed)
-    built = {
-        DIM_COMPANY.name: build_dim_company(landed),
-        DIM_LOCATION.name: build_dim_location(landed),
-        DIM_SOURCE.name: build_dim_source(landed),
-        DIM_DATE.name: build_dim_date(observations),
-        FACT_OBSERVATION.name: observations,
-        FACT_POSTING.name: build_postings(observations),
+_FROM_OBSERVATIONS = (FACT_POSTING, DIM_DATE)
+
+
+def model_of(landed: DataFrame, observations: DataFrame | None = None) -> dict[Table, DataFrame]:
+    """The six tables of the model as one unevaluated query each, some of them over ``observations`` if given."""
+    if observations is None:
+        observations = build_observations(landed)
+    return {
+        DIM_COMPANY: build_dim_company(landed),
+        DIM_LOCATION: build_dim_location(landed),
+        DIM_SOURCE: build_dim_source(landed),
+        DIM_DATE: build_dim_date(observations),
+        FACT_OBSERVATION: observations,
+        FACT_POSTING: build_postings(observations),
     }
-    return {table.name: built[table.name] for table in ALL_TABLES}
 
 
 def build_model(landed: DataFrame, model_dir: str) -> dict[str, int]:
@@ -49,19 +52,10 @@ def build_model(landed: DataFrame, model_dir: str) -> dict[str, int]:
     dimensions read one narrow column of the landed rows each.
     """
     spark = landed.sparkSession
-    from_landed = {
-        FACT_OBSERVATION: build_observations(landed),
-        DIM_COMPANY: build_dim_company(landed),
-        DIM_LOCATION: build_dim_location(landed),
-        DIM_SOURCE: build_dim_source(landed),
-    }
-    counts = _write(spark, from_landed, model_dir)
-    observations = read_table(spark, model_dir, FACT_OBSERVATION)
-    from_observations = {
-        FACT_POSTING: build_postings(observations),
-        DIM_DATE: build_dim_date(observations),
-    }
-    counts |= _write(spark, from_observations, model_dir)
+    first = {table: df for table, df in model_of(landed).items() if table not in _FROM_OBSERVATIONS}
+    counts = _write(spark, first, model_dir)
+    written = model_of(landed, read_table(spark, model_dir, FACT_OBSERVATION))
+    counts |= _write(spark, {table: written[table] for table in _FROM_OBSERVATIONS}, model_dir)
     return {table.name: counts[table.name] for table in ALL_TABLES}
 
 
@@ -71,9 +65,13 @@ def _write(spark: SparkSession, built: dict[Table, DataFrame], model_dir: str) -
     )
 
 
-def build_warehouse(spark: SparkSession, landing_dir: str, model_dir: str) -> dict[str, int]:
-    """Build the whole model from a landing directory; the rows of each table."""
-    return build_model(read_landed(spark, landing_dir), model_dir)
+def build_warehouse(spark: SparkSession, landing_dir: str, model_dir: str, storage: str = "parquet") -> dict[str, int]:
+    """Build the whole model from a landing directory; the rows of each table.
+
+    ``storage`` is what the rows were landed as, ``"parquet"`` or ``"json"``.
+    """
+    read = read_landed_json if storage == "json" else read_landed
+    return build_model(read(spark, landing_dir), model_dir)
 
 
 def rebuild_date(landed: DataFrame, model_dir: str, ingest_date: str) -> int:

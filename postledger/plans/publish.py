@@ -1,92 +1,128 @@
-"""Publish a built model: as a whole, or one ingest date of it.
+"""Publish a model: as a whole, or one ingest date of it.
 
-A publication root holds one directory per published version and a log of versions.
-Readers follow the last entry of the log. An entry is one small file that is committed by
-rename, so readers see either the old model or the new one, never a mix.
+A publication root holds a directory per published version and a log with an entry per
+version. An entry names the directory with the tables, and for each date that was swapped
+since the directory with its observations. Entries are never changed, a number is given out
+once, and readers follow the last one: they see the old model or the new one, never a mix.
 """
 
-from functools import partial
+import json
+from collections.abc import Callable
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from postledger.operators.contracts import require_contracts
-from postledger.plans.write import replace_partition, write_table, write_together
+from postledger.plans.build import build_model
+from postledger.plans.write import replace_partition
 from postledger.schemas import ALL_TABLES, DIMENSIONS, FACT_OBSERVATION, FACTS, Table
 from postledger.sources.model import read_model, read_table
-from postledger.storage import path_exists
+from postledger.storage import create_file, path_exists
 
-_LOG = "version long, directory string"
+_LOG = "version long, directory string, swapped array<struct<ingest_date string, directory string>>"
 
 
 def _last_entry(spark: SparkSession, root: str) -> Row | None:
     if not path_exists(spark, f"{root}/versions_log"):
         return None
-    log = spark.read.schema(_LOG).json(f"{root}/versions_log")
-    return log.orderBy(F.desc("version"), F.desc("directory")).first()
+    # An entry that is being written reads as NULL.
+    log = spark.read.schema(_LOG).json(f"{root}/versions_log").filter("version IS NOT NULL")
+    return log.orderBy(F.desc("version")).first()
+
+
+def _publish(spark: SparkSession, root: str, entry: Callable[[Row | None], dict]) -> None:
+    """Log the entry that ``entry`` makes of the last one, under the number behind it.
+
+    Where another publication took the number, the entry is made again of that one.
+    """
+    while True:
+        last = _last_entry(spark, root)
+        version = last.version + 1 if last else 1
+        line = json.dumps({"version": version, **entry(last)})
+        if create_file(spark, f"{root}/versions_log/{version:012}.json", line + "\n"):
+            return
 
 
 def published_dir(spark: SparkSession, root: str) -> str | None:
-    """Directory of the version that is published under ``root``, None before the first."""
+    """Directory of the tables that are published under ``root``, None before the first.
+
+    Dates that were swapped since are elsewhere; ``read_published`` follows these, too.
+    """
     last = _last_entry(spark, root)
     return f"{root}/{last.directory}" if last else None
 
 
 def read_published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The six published tables by name."""
-    directory = published_dir(spark, root)
-    if directory is None:
+    last = _last_entry(spark, root)
+    if last is None:
         raise ValueError(f"nothing published under {root}")
-    return read_model(spark, directory)
+    return _read(spark, root, last)
 
 
-def publish_full(spark: SparkSession, model_dir: str, root: str) -> dict[str, int]:
-    """Replace everything published under ``root`` by the model; the rows of each table.
+def _read(spark: SparkSession, root: str, entry: Row) -> dict[str, DataFrame]:
+    tables = read_model(spark, f"{root}/{entry.directory}")
+    if not entry.swapped:
+        return tables
+    fact, day = FACT_OBSERVATION, F.col("ingest_date")
+    dates = [F.lit(swap.ingest_date).cast("date") for swap in entry.swapped]
+    parts = [tables[fact.name].filter(~day.isin(*dates))]
+    parts += [
+        read_table(spark, f"{root}/{swap.directory}", fact).filter(day == date)
+        for swap, date in zip(entry.swapped, dates, strict=True)
+        if swap.directory
+    ]
+    return tables | {fact.name: reduce(DataFrame.unionAll, parts)}
 
-    Dimensions are written before facts, to a new version. The version counts once all its
-    contracts hold; until then, or when one is broken, readers keep the one before.
+
+def publish_full(spark: SparkSession, landed: DataFrame, root: str) -> dict[str, int]:
+    """Replace everything published under ``root`` by the model of ``landed``; the rows of each table.
+
+    The model is built where it will be read. It counts once all its contracts hold; until
+    then, or when one is broken, readers keep the version before.
     """
     directory = f"version-{uuid4().hex}"
-    counts = {}
-    for tables in (DIMENSIONS, FACTS):
-        counts |= write_together({
-            table.name: partial(
-                write_table, read_table(spark, model_dir, table), f"{root}/{directory}", table, gather=False
-            )
-            for table in tables
-        }, spark)
+    counts = build_model(landed, f"{root}/{directory}")
     require_contracts(read_model(spark, f"{root}/{directory}"))
-    last = _last_entry(spark, root)
-    entry = spark.createDataFrame([(last.version + 1 if last else 1, directory)], _LOG)
-    entry.coalesce(1).write.mode("append").json(f"{root}/versions_log")
+    _publish(spark, root, lambda last: {"directory": directory, "swapped": []})
     return counts
 
 
 def publish_partition(
     spark: SparkSession, model_dir: str, root: str, ingest_date: str
 ) -> dict[str, int]:
-    """Replace one ingest date of the published observations, and nothing else.
+    """Replace one ingest date of the published observations by that of a model, and nothing else.
 
-    Only that date's directory is read and written, and publishing it twice is the same as
-    once. Its rows must keep the contracts with the dimensions already published, which a
-    full publication before it sees to.
+    Only that date is read and written. The new version shares all else with the one before.
+    Publishing a date twice is the same as once. Its rows must keep the contracts with the
+    dimensions already published, which a full publication before it sees to.
     """
-    target = published_dir(spark, root)
-    if target is None:
+    if published_dir(spark, root) is None:
         raise ValueError(f"nothing published under {root}")
-    fact = FACT_OBSERVATION
-    rows = read_table(spark, model_dir, fact).filter(
-        F.col("ingest_date") == F.lit(ingest_date).cast("date")
-    )
-    dimensions = {table.name: read_table(spark, target, table) for table in DIMENSIONS}
-    require_contracts({fact.name: rows, **dimensions}, checked=[fact])
-    return {fact.name: replace_partition(rows, f"{target}/{fact.name}", "ingest_date", ingest_date)}
+    fact, directory = FACT_OBSERVATION, f"date-{uuid4().hex}"
+    rows = read_table(spark, model_dir, fact).filter(F.col("ingest_date") == F.lit(ingest_date).cast("date"))
+    written = replace_partition(rows, f"{root}/{directory}/{fact.name}", "ingest_date", ingest_date)
+
+    def entry(last: Row) -> dict:
+        if written:
+            staged = read_table(spark, f"{root}/{directory}", fact)
+            dimensions = {table.name: read_table(spark, f"{root}/{last.directory}", table) for table in DIMENSIONS}
+            require_contracts({fact.name: staged, **dimensions}, checked=[fact])
+        others = [swap.asDict() for swap in last.swapped if swap.ingest_date != ingest_date]
+        return {
+            "directory": last.directory,
+            "swapped": [*others, {"ingest_date": ingest_date, "directory": directory if written else None}],
+        }
+
+    _publish(spark, root, entry)
+    return {fact.name: written}
 
 
 def create_catalog(spark: SparkSession, model_dir: str, database: str) -> None:
     """Declare the tables of ``model_dir``, comments and partitions included; safe to repeat."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION {_quoted(model_dir)}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for table in ALL_TABLES:
         spark.sql(_declaration(table, model_dir, database))
         if table.partition_by:

@@ -7,8 +7,9 @@ rows in place, where the keys and references of the database check them.
 
 from collections.abc import Iterable, Sequence
 from typing import Any
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -39,9 +40,14 @@ def table_name(table: Table, schema: str = SCHEMA) -> str:
     return f"{schema}.{table.name}"
 
 
-def staged_name(table: Table, schema: str = SCHEMA) -> str:
-    """Qualified name of the staging table of a table."""
-    return f"{schema}.{table.name}_staged"
+def staged_name(table: Table, run: str, schema: str = SCHEMA) -> str:
+    """Qualified name of the staging table that one load has for a table."""
+    return f"{schema}.{table.name}_{run}"
+
+
+def _new_run() -> str:
+    """A name that no other load has; short, as databases limit the length of names."""
+    return f"staged_{uuid4().hex[:12]}"
 
 
 def _text(value: str) -> str:
@@ -68,23 +74,23 @@ def schema_statements(schema: str = SCHEMA) -> list[str]:
     return statements
 
 
-def _move(table: Table, schema: str) -> str:
+def _move(table: Table, run: str, schema: str) -> str:
     columns = ", ".join(table.columns)
-    return f"INSERT INTO {table_name(table, schema)} ({columns}) SELECT {columns} FROM {staged_name(table, schema)}"
+    return f"INSERT INTO {table_name(table, schema)} ({columns}) SELECT {columns} FROM {staged_name(table, run, schema)}"
 
 
-def replace_all_statements(schema: str = SCHEMA) -> list[str]:
+def replace_all_statements(run: str, schema: str = SCHEMA) -> list[str]:
     """Statements that put the staged rows of all tables in place of the present ones."""
     names = ", ".join(table_name(table, schema) for table in ALL_TABLES)
-    return [f"TRUNCATE {names}", *(_move(table, schema) for table in ALL_TABLES)]
+    return [f"TRUNCATE {names}", *(_move(table, run, schema) for table in ALL_TABLES)]
 
 
-def replace_date_statements(ingest_date: str, schema: str = SCHEMA) -> list[str]:
+def replace_date_statements(ingest_date: str, run: str, schema: str = SCHEMA) -> list[str]:
     """Statements that put the staged observations of one date in place of the present ones."""
     fact = FACT_OBSERVATION
     return [
         f"DELETE FROM {table_name(fact, schema)} WHERE ingest_date = DATE {_text(ingest_date)}",
-        _move(fact, schema),
+        _move(fact, run, schema),
     ]
 
 
@@ -93,8 +99,17 @@ def statistics_statements(schema: str = SCHEMA) -> list[str]:
     return [f"ANALYZE {table_name(table, schema)}" for table in FACTS]
 
 
-def _stage(df: DataFrame, table: Table, url: str, properties: dict[str, str], schema: str) -> None:
-    df.write.jdbc(url, staged_name(table, schema), mode="overwrite", properties=properties)
+def _stage(df: DataFrame, name: str, url: str, properties: dict[str, str]) -> None:
+    df.write.jdbc(url, name, mode="overwrite", properties=properties)
+
+
+def _stage_counted(stage, df: DataFrame, name: str, url: str, properties: dict[str, str]) -> int:
+    """Stage rows; how many they were, counted while they were written."""
+    if not str(properties.get("numPartitions", "")).isdigit():
+        raise ValueError("properties must bound the connections of a load by numPartitions")
+    counted = Observation(f"staged-{uuid4().hex}")
+    stage(df.observe(counted, F.count(F.lit(1)).alias("rows")), name, url, properties)
+    return counted.get["rows"]
 
 
 def _transact(connection: Any, statements: Iterable[str]) -> None:
@@ -109,8 +124,8 @@ def _transact(connection: Any, statements: Iterable[str]) -> None:
         raise
 
 
-def _drop_staged(tables: Sequence[Table], schema: str) -> list[str]:
-    return [f"DROP TABLE IF EXISTS {staged_name(table, schema)}" for table in tables]
+def _drop_staged(tables: Sequence[Table], run: str, schema: str) -> list[str]:
+    return [f"DROP TABLE IF EXISTS {staged_name(table, run, schema)}" for table in tables]
 
 
 def create_schema(connection: Any, schema: str = SCHEMA) -> None:
@@ -126,17 +141,21 @@ def publish_full_jdbc(
     connection: Any,
     schema: str = SCHEMA,
     stage=_stage,
-) -> None:
-    """Replace all six tables in one transaction, dimensions before facts.
+) -> dict[str, int]:
+    """Replace all six tables in one transaction, dimensions before facts; the rows of each.
 
     ``properties`` go to the JDBC writer, ``numPartitions`` among them, which bounds how
     many executors write at once. ``connection`` is a DB-API connection to the same
-    database, not in autocommit mode.
+    database, not in autocommit mode. Loads have staging tables of their own.
     """
-    for table in ALL_TABLES:
-        stage(read_table(spark, model_dir, table), table, url, properties, schema)
-    _transact(connection, replace_all_statements(schema))
-    _transact(connection, [*statistics_statements(schema), *_drop_staged(ALL_TABLES, schema)])
+    run = _new_run()
+    counts = {
+        table.name: _stage_counted(stage, read_table(spark, model_dir, table), staged_name(table, run, schema), url, properties)
+        for table in ALL_TABLES
+    }
+    _transact(connection, replace_all_statements(run, schema))
+    _transact(connection, [*statistics_statements(schema), *_drop_staged(ALL_TABLES, run, schema)])
+    return counts
 
 
 def publish_partition_jdbc(
@@ -148,12 +167,13 @@ def publish_partition_jdbc(
     connection: Any,
     schema: str = SCHEMA,
     stage=_stage,
-) -> None:
-    """Replace one ingest date of the observations in one transaction, and nothing else."""
-    fact = FACT_OBSERVATION
+) -> dict[str, int]:
+    """Replace one ingest date of the observations in one transaction, and nothing else; the rows written."""
+    fact, run = FACT_OBSERVATION, _new_run()
     rows = read_table(spark, model_dir, fact).filter(
         F.col("ingest_date") == F.lit(ingest_date).cast("date")
     )
-    stage(rows, fact, url, properties, schema)
-    _transact(connection, replace_date_statements(ingest_date, schema))
-    _transact(connection, _drop_staged([fact], schema))
+    count = _stage_counted(stage, rows, staged_name(fact, run, schema), url, properties)
+    _transact(connection, replace_date_statements(ingest_date, run, schema))
+    _transact(connection, _drop_staged([fact], run, schema))
+    return {fact.name: count}

@@ -14,6 +14,7 @@ from postledger.proving import registry
 from postledger.schemas import FACT_OBSERVATION, FACT_POSTING, LANDED
 from postledger.sources.landed import read_landed
 from postledger.sources.model import read_table
+from postledger.storage import require_local
 from tests.rows import landed, landed_row
 
 
@@ -24,6 +25,10 @@ def plan(df, mode="formatted"):
     return out.getvalue()
 
 
+def tables_of(rows):
+    return {table.name: df for table, df in model_of(rows).items()}
+
+
 @pytest.fixture(scope="module")
 def rows(spark, tmp_path_factory):
     directory = str(tmp_path_factory.mktemp("landing"))
@@ -41,14 +46,14 @@ def model(rows, tmp_path_factory):
 
 
 def test_no_row_leaves_the_engine(rows):
-    for name, df in model_of(rows).items():
+    for name, df in tables_of(rows).items():
         text = plan(df)
         assert not re.search("Python|Pandas|MapInArrow", text), name
         assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|SinglePartition", text), name
 
 
 def test_groups_shrink_before_every_shuffle(rows):
-    for name, df in model_of(rows).items():
+    for name, df in tables_of(rows).items():
         text = plan(df, "simple")
         exchanges = len(re.findall(r"Exchange hashpartitioning", text))
         partial = len(re.findall(r"(?:HashAggregate|SortAggregate)\(keys?=.*functions=\[(?:\]|partial_)", text))
@@ -62,13 +67,13 @@ def test_facts_take_one_shuffle_each(rows, spark, model):
 
 
 def test_dimensions_read_one_column(rows):
-    tables = model_of(rows)
+    tables = tables_of(rows)
     for name, column in (("dim_company", "company"), ("dim_location", "location"), ("dim_source", "site")):
         assert f"ReadSchema: struct<{column}:string>" in plan(tables[name]), name
 
 
 def test_companies_are_conformed_once_per_spelling(rows):
-    text = plan(model_of(rows)["dim_company"], "simple")
+    text = plan(tables_of(rows)["dim_company"], "simple")
     scan_side = text[text.index("partial_count(1)"):]
     assert "regexp_replace" not in scan_side
 
@@ -88,7 +93,7 @@ def test_generated_code_stays_small_enough_to_be_compiled(spark, rows):
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        sizes = [int(n) for df in (conform_sightings(rows), *model_of(rows).values())
+        sizes = [int(n) for df in (conform_sightings(rows), *tables_of(rows).values())
                  for n in re.findall(r"maxMethodCodeSize:(\d+)", plan(df, "codegen"))]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
@@ -102,6 +107,14 @@ def test_reports_neither_cross_nor_gather(spark, model):
         assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|SinglePartition", plan(df))
 
 
+def test_intermediates_need_a_shared_folder():
+    for master in ("local", "local[*]", "local[8]"):
+        require_local(master)
+    for master in ("yarn", "k8s://https://h:443", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            require_local(master)
+
+
 def test_the_landed_schema_is_declared(rows):
     assert rows.columns == LANDED.names
     assert registry.QUERIES

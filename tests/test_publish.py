@@ -12,7 +12,8 @@ from postledger.operators.contracts import (
     reference_violations,
     require_contracts,
 )
-from postledger.plans.build import build_model, model_of
+from postledger.plans import publish
+from postledger.plans.build import build_model, build_warehouse, model_of
 from postledger.plans.publish import (
     create_catalog,
     publish_full,
@@ -64,8 +65,8 @@ class TestBuild:
             check_columns(tables[table.name], table)
 
     def test_equals_the_unwritten_model(self, spark, model):
-        for name, df in model_of(landed(spark, *sightings())).items():
-            assert rows(df) == rows(read_model(spark, model)[name]), name
+        for table, df in model_of(landed(spark, *sightings())).items():
+            assert rows(df) == rows(read_model(spark, model)[table.name]), table.name
 
     def test_building_again_replaces(self, spark, model, tmp_path):
         directory = str(tmp_path / "m")
@@ -80,6 +81,15 @@ class TestBuild:
         assert len(glob.glob(f"{model}/fact_posting_observation/ingest_date=2026-08-*")) == 2
 
 
+    def test_builds_from_json_lines(self, spark, model, tmp_path):
+        directory = str(tmp_path / "landing")
+        given = landed(spark, *sightings())
+        given.withColumn("ingest_date", given["_ingest_date"]).write.partitionBy("ingest_date").option("compression", "gzip").json(directory)
+        assert build_warehouse(spark, directory, str(tmp_path / "m"), storage="json") == COUNTS
+        for name, df in read_model(spark, str(tmp_path / "m")).items():
+            assert rows(df) == rows(read_model(spark, model)[name])
+
+
 class TestContracts:
     def test_declared_columns(self):
         assert FACT_OBSERVATION.columns == [
@@ -120,7 +130,7 @@ class TestContracts:
 
     def test_a_null_reference_passes(self, spark):
         tables = model_of(landed(spark, landed_row("https://x/1", "2026-08-21", company=None)))
-        require_contracts(tables)
+        require_contracts({table.name: df for table, df in tables.items()})
 
 
 class TestPublishing:
@@ -131,52 +141,82 @@ class TestPublishing:
 
     def test_publishing_again_neither_adds_nor_drifts(self, spark, model, tmp_path):
         root = str(tmp_path / "p")
-        assert publish_full(spark, model, root) == COUNTS
+        assert publish_full(spark, landed(spark, *sightings()), root) == COUNTS
         first = {name: rows(df) for name, df in read_published(spark, root).items()}
-        assert publish_full(spark, model, root) == COUNTS
+        assert publish_full(spark, landed(spark, *sightings()), root) == COUNTS
         assert {name: rows(df) for name, df in read_published(spark, root).items()} == first
-        assert first["fact_posting"] == rows(read_model(spark, model)["fact_posting"])
+        assert first == {name: rows(df) for name, df in read_model(spark, model).items()}
 
-    def test_what_left_the_model_leaves_the_publication(self, spark, model, tmp_path):
-        root, larger = str(tmp_path / "p"), str(tmp_path / "m")
-        build_model(landed(spark, *sightings(), landed_row("https://x/9", "2026-08-21")), larger)
-        publish_full(spark, larger, root)
-        publish_full(spark, model, root)
+    def test_what_left_the_rows_leaves_the_publication(self, spark, tmp_path):
+        root = str(tmp_path / "p")
+        publish_full(spark, landed(spark, *sightings(), landed_row("https://x/9", "2026-08-21")), root)
+        publish_full(spark, landed(spark, *sightings()), root)
         assert {name: df.count() for name, df in read_published(spark, root).items()} == COUNTS
 
-    def test_a_broken_model_is_not_published(self, spark, model, tmp_path):
-        root, broken = str(tmp_path / "p"), str(tmp_path / "m")
-        publish_full(spark, model, root)
+    def test_a_broken_model_is_not_published(self, spark, tmp_path):
+        root = str(tmp_path / "p")
+        publish_full(spark, landed(spark, *sightings()), root)
         before = published_dir(spark, root)
-        build_model(landed(spark, *sightings(), landed_row(None, "2026-08-21")), broken)
         with pytest.raises(ContractViolation, match="fact_posting_observation: 1 broken required .* job_url"):
-            publish_full(spark, broken, root)
+            publish_full(spark, landed(spark, *sightings(), landed_row(None, "2026-08-21")), root)
         assert published_dir(spark, root) == before
 
     def test_one_date_is_replaced_and_no_other(self, spark, model, tmp_path):
         root, other = str(tmp_path / "p"), str(tmp_path / "m")
-        publish_full(spark, model, root)
-        untouched = f"{published_dir(spark, root)}/fact_posting_observation/ingest_date=2026-08-22"
-        files = {p: open(p, "rb").read() for p in glob.glob(f"{untouched}/*")}
+        publish_full(spark, landed(spark, *sightings()), root)
+        before = read_published(spark, root)
+        files = {p: open(p, "rb").read() for p in glob.glob(f"{root}/**/*.parquet", recursive=True)}
         build_model(landed(spark, *sightings(title="Relisted")), other)
         for _ in range(2):
             assert publish_partition(spark, other, root, "2026-08-21") == {"fact_posting_observation": 2}
         tables = read_published(spark, root)
         assert by_date(tables) == {"2026-08-21": 2, "2026-08-22": 1}
-        assert rows(tables["fact_posting_observation"].select("ingest_date", "title").filter("title = 'Relisted'"))
-        assert {p: open(p, "rb").read() for p in glob.glob(f"{untouched}/*")} == files
+        titles = {(str(r.ingest_date), r.job_url): r.title for r in tables["fact_posting_observation"].collect()}
+        assert titles == {("2026-08-21", "https://x/1"): "Relisted", ("2026-08-21", "https://x/2"): "Software Engineer",
+                          ("2026-08-22", "https://x/1"): "Software Engineer"}
+        assert {p: open(p, "rb").read() for p in files} == files
+        # Whoever reads the version before still does.
+        assert "Relisted" not in {r.title for r in before["fact_posting_observation"].collect()}
         assert rows(tables["fact_posting"]) == rows(read_model(spark, model)["fact_posting"])
 
+    def test_several_dates_are_replaced(self, spark, tmp_path):
+        root, other = str(tmp_path / "p"), str(tmp_path / "m")
+        publish_full(spark, landed(spark, *sightings()), root)
+        build_model(landed(spark, *[r | {"title": "Relisted"} for r in sightings()]), other)
+        for day in ("2026-08-21", "2026-08-22", "2026-08-21"):
+            publish_partition(spark, other, root, day)
+        assert rows(read_published(spark, root)["fact_posting_observation"]) == rows(read_model(spark, other)["fact_posting_observation"])
+        publish_full(spark, landed(spark, *sightings()), root)
+        assert {r.title for r in read_published(spark, root)["fact_posting_observation"].collect()} == {"Software Engineer"}
+
+    def test_a_version_number_is_given_out_once(self, spark, tmp_path, monkeypatch):
+        root, entered = str(tmp_path / "p"), []
+        publish_full(spark, landed(spark, *sightings()), root)
+        real = publish._last_entry
+
+        def late(session, where):
+            last = real(session, where)
+            if not entered:
+                entered.append(True)
+                publish_full(spark, landed(spark, *sightings()), root)
+            return last
+
+        monkeypatch.setattr(publish, "_last_entry", late)
+        publish_full(spark, landed(spark, *sightings()), root)
+        logged = sorted(glob.glob(f"{root}/versions_log/*.json"))
+        assert [p[-6:] for p in logged] == ["1.json", "2.json", "3.json"]
+        assert real(spark, root).version == 3
+
     def test_a_date_the_model_lacks_is_emptied(self, spark, model, tmp_path):
         root, other = str(tmp_path / "p"), str(tmp_path / "m")
-        publish_full(spark, model, root)
+        publish_full(spark, landed(spark, *sightings()), root)
         build_model(landed(spark, *sightings()[2:]), other)
         assert publish_partition(spark, other, root, "2026-08-21") == {"fact_posting_observation": 0}
         assert by_date(read_published(spark, root)) == {"2026-08-22": 1}
 
     def test_an_unknown_source_is_refused(self, spark, model, tmp_path):
         root, other = str(tmp_path / "p"), str(tmp_path / "m")
-        publish_full(spark, model, root)
+        publish_full(spark, landed(spark, *sightings()), root)
         build_model(landed(spark, landed_row("https://x/9", "2026-08-21", "no-such-source")), other)
         with pytest.raises(ContractViolation, match="source_key=no-such-source"):
             publish_partition(spark, other, root, "2026-08-21")

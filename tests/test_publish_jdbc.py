@@ -3,6 +3,8 @@
 No database runs here; a recording connection stands in for one.
 """
 
+import re
+
 import pytest
 
 from postledger.plans import publish_jdbc as jdbc
@@ -31,9 +33,16 @@ class Recorder:
     def rollback(self):
         self.log.append("rollback")
 
-    def stage(self, df, table, url, properties, schema):
-        assert df.columns == table.columns
-        self.log.append(f"stage {table.name} {df.count()}")
+    def stage(self, df, name, url, properties):
+        df.write.format("noop").mode("overwrite").save()
+        self.log.append(f"stage {name} {df.count()}")
+
+    def plain(self):
+        """What happened, without the name of the run."""
+        return [re.sub("staged_[0-9a-f]{12}", "RUN", entry) for entry in self.log]
+
+
+BOUNDED = {"numPartitions": "4"}
 
 
 @pytest.fixture(scope="module")
@@ -45,33 +54,54 @@ def model(spark, tmp_path_factory):
 
 def test_all_tables_are_replaced_in_one_transaction(spark, model):
     db = Recorder()
-    jdbc.publish_full_jdbc(spark, model, "jdbc:x", {}, db, stage=db.stage)
-    staged, moved = db.log[:6], db.log[6 : db.log.index("commit")]
-    assert [s.split()[1] for s in staged] == [t.name for t in ALL_TABLES]
+    counts = jdbc.publish_full_jdbc(spark, model, "jdbc:x", BOUNDED, db, stage=db.stage)
+    assert counts == {
+        "dim_company": 1, "dim_location": 1, "dim_source": 1, "dim_date": 2, "fact_posting_observation": 2, "fact_posting": 1}
+    log = db.plain()
+    staged, moved = log[:6], log[6 : log.index("commit")]
+    assert [s.split()[1:] for s in staged] == [[f"wh.{t.name}_RUN", str(counts[t.name])] for t in ALL_TABLES]
     assert moved[0] == "TRUNCATE " + ", ".join(f"wh.{t.name}" for t in ALL_TABLES)
     assert [m.split()[2] for m in moved[1:]] == [f"wh.{t.name}" for t in ALL_TABLES]
-    assert all(", ".join(t.columns) in m for t, m in zip(ALL_TABLES, moved[1:]))
-    assert "ANALYZE wh.fact_posting" in db.log[db.log.index("commit") :]
+    assert all(", ".join(t.columns) in m and m.endswith(f"wh.{t.name}_RUN") for t, m in zip(ALL_TABLES, moved[1:]))
+    assert "ANALYZE wh.fact_posting" in log[log.index("commit") :]
+
+
+def test_loads_share_no_staging_table(spark, model):
+    logs = []
+    for _ in range(2):
+        db = Recorder()
+        jdbc.publish_partition_jdbc(spark, model, "2026-08-21", "jdbc:x", BOUNDED, db, stage=db.stage)
+        logs.append(db)
+    assert logs[0].log != logs[1].log and logs[0].plain() == logs[1].plain()
+    assert all(len(name) <= 63 for name in re.findall(r"wh\.(\w+)", " ".join(logs[0].log)))
+
+
+def test_connections_must_be_bounded(spark, model):
+    db = Recorder()
+    with pytest.raises(ValueError, match="numPartitions"):
+        jdbc.publish_full_jdbc(spark, model, "jdbc:x", {}, db, stage=db.stage)
+    assert not db.log
 
 
 def test_a_refused_row_leaves_the_present_tables(spark, model):
     db = Recorder(fail_at="INSERT INTO wh.fact_posting_observation")
     with pytest.raises(RuntimeError):
-        jdbc.publish_full_jdbc(spark, model, "jdbc:x", {}, db, stage=db.stage)
+        jdbc.publish_full_jdbc(spark, model, "jdbc:x", BOUNDED, db, stage=db.stage)
     assert db.log[-1] == "rollback" and "commit" not in db.log
 
 
 def test_one_date_is_replaced_in_one_transaction(spark, model):
     db = Recorder()
-    jdbc.publish_partition_jdbc(spark, model, "2026-08-21", "jdbc:x", {}, db, stage=db.stage)
+    counts = jdbc.publish_partition_jdbc(spark, model, "2026-08-21", "jdbc:x", BOUNDED, db, stage=db.stage)
     columns = ", ".join(FACT_OBSERVATION.columns)
-    assert db.log == [
-        "stage fact_posting_observation 1",
+    assert counts == {"fact_posting_observation": 1}
+    assert db.plain() == [
+        "stage wh.fact_posting_observation_RUN 1",
         "DELETE FROM wh.fact_posting_observation WHERE ingest_date = DATE '2026-08-21'",
         f"INSERT INTO wh.fact_posting_observation ({columns})"
-        f" SELECT {columns} FROM wh.fact_posting_observation_staged",
+        f" SELECT {columns} FROM wh.fact_posting_observation_RUN",
         "commit",
-        "DROP TABLE IF EXISTS wh.fact_posting_observation_staged",
+        "DROP TABLE IF EXISTS wh.fact_posting_observation_RUN",
         "commit",
     ]
 

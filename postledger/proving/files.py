@@ -1,6 +1,7 @@
 """Write rows as the CSV files a scraper would have left."""
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,15 @@ def write_scrapes(lines: DataFrame, headers: DataFrame, directory: str) -> None:
     _take_names(spark, staged, f"{directory}/scrapes")
 
 
+def put_aside(lines: DataFrame, headers: DataFrame, directory: str, folder: str) -> None:
+    """Write files as ``write_scrapes`` does, but to a folder below the scrapes of ``directory``."""
+    write_scrapes(lines, headers, f"{directory}/aside")
+    spark = lines.sparkSession
+    source = spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/aside/scrapes")
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.rename(source, spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/scrapes/{folder}"))
+
+
 def _take_names(spark, staged: str, directory: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs
     root = hadoop.Path(staged)
@@ -46,7 +56,7 @@ def _take_names(spark, staged: str, directory: str) -> None:
         parts = [s.getPath() for s in files.listStatus(group.getPath()) if s.getPath().getName().startswith("part-")]
         if len(parts) != 1:
             raise RuntimeError(f"{name} was written in {len(parts)} parts")
-        files.rename(parts[0], hadoop.Path(f"{directory}/{name.removeprefix('file=')}"))
+        files.rename(parts[0], hadoop.Path(f"{directory}/{unquote(name.removeprefix('file='))}"))
 
 
 def file_headers(lines: DataFrame, header: Column) -> DataFrame:

@@ -19,11 +19,11 @@ from postledger.operators.dims import (
     build_dim_source,
 )
 from postledger.operators.facts import build_observations, build_postings, conform_sightings
-from postledger.operators.fingerprint import build_manifest, fingerprint
+from postledger.operators.fingerprint import fingerprint
 from postledger.operators.grain import smallest_per_key
 from postledger.plans import reports
 from postledger.plans.build import build_model, build_warehouse, rebuild_date
-from postledger.plans.land import land, landing_dir
+from postledger.plans.land import land, landing_dir, read_manifest
 from postledger.plans.publish import (
     create_catalog,
     publish_full,
@@ -31,8 +31,9 @@ from postledger.plans.publish import (
     read_published,
     refresh_statistics,
 )
-from postledger.proving.files import csv_line, file_headers, header_of, write_scrapes
+from postledger.proving.files import csv_line, file_headers, header_of, put_aside, write_scrapes
 from postledger.proving.scrapes import (
+    SUPPLIERS_PER_SHARD,
     landed_orders,
     reprocessed_lines,
     scraped_documents,
@@ -45,6 +46,7 @@ from postledger.schemas import (
     DIM_SOURCE,
     FACT_OBSERVATION,
     FACT_POSTING,
+    Table,
 )
 from postledger.sources.landed import landed_fields, read_landed, read_landed_json
 from postledger.sources.model import read_model, read_table
@@ -111,8 +113,9 @@ def _write_order_scrapes(spark: SparkSession, sf_dir: str, scraped: DataFrame, d
     derived = reprocessed_lines(spark, sf_dir).select(
         F.col("_source_file").alias("file"), csv_line(*[F.col(c) for c in columns]).alias("line")
     )
+    shard = (F.col("s_suppkey") / SUPPLIERS_PER_SHARD).cast("long").cast("string")
     strays = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
-        F.lit("contacts-export.csv").alias("file"), csv_line(F.col("s_name")).alias("line")
+        F.concat(F.lit("contacts-export-"), shard, F.lit(".csv")).alias("file"), csv_line(F.col("s_name")).alias("line")
     )
     write_scrapes(
         lines.unionAll(derived).unionAll(strays),
@@ -121,6 +124,8 @@ def _write_order_scrapes(spark: SparkSession, sf_dir: str, scraped: DataFrame, d
         ),
         directory,
     )
+    # What lies in a folder below is no scrape, whatever the folder is called.
+    put_aside(derived, file_headers(derived, header_of(columns)), directory, "archive=old")
 
 
 def _order_scrapes(spark: SparkSession, sf_dir: str) -> str:
@@ -207,17 +212,12 @@ def land_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
             land(spark, f"{directory}/again/scrapes", root, only_date=AGAIN)
 
     root = _once(spark, "replaced", sf_dir, make) + "/root"
-    landed = read_landed(spark, landing_dir(root))
-    return landed.groupBy("_ingest_date").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("title").startswith("Again ")).alias("again")
-    )
+    return read_landed(spark, landing_dir(root))
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = scraped_orders(spark, sf_dir).drop("emails", "_order").withColumn(
-        "ingest_date", F.col("_ingest_date").cast("date")
-    )
-    return build_manifest(landed).withColumns({
+    """The manifest that landing all orders has left."""
+    return read_manifest(spark, _landed_scrapes(spark, sf_dir)).withColumns({
         "source_files": F.concat_ws(",", "source_files"),
         "dropped_columns": F.concat_ws(",", "dropped_columns"),
     })
@@ -312,26 +312,32 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- whole models -----------------------------------------------------------
 
+def _landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed rows of all orders."""
+    return read_landed(spark, landing_dir(_landed_scrapes(spark, sf_dir)))
+
+
 def _model(spark: SparkSession, sf_dir: str) -> str:
-    """Directory of the model of all orders that have what the facts require."""
-    landed = landed_orders(spark, sf_dir).filter(F.col("job_url").isNotNull())
-    return _once(spark, "model", sf_dir, lambda d: build_model(landed, d))
+    """Directory of the model of what is landed of all orders."""
+    landing = landing_dir(_landed_scrapes(spark, sf_dir))
+    return _once(spark, "model", sf_dir, lambda d: build_warehouse(spark, landing, d))
+
+
+def _again(landed: DataFrame, word: str) -> DataFrame:
+    """The rows with titles that tell them from those they replace."""
+    return landed.withColumn("title", F.concat(F.lit(f"{word} "), F.col("title")))
 
 
 def rebuild_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One date of the observations rebuilt from rows landed again."""
+    """The observations after one date was rebuilt from rows landed again."""
 
     def make(directory: str) -> None:
-        landed = landed_orders(spark, sf_dir).filter(F.col("job_url").isNotNull())
+        landed = _landed_rows(spark, sf_dir)
         build_model(landed, directory)
-        again = landed.withColumn("title", F.concat(F.lit("Again "), F.col("title")))
         for _ in range(2):
-            rebuild_date(again, directory, AGAIN)
+            rebuild_date(_again(landed, "Again"), directory, AGAIN)
 
-    fact = read_table(spark, _once(spark, "rebuilt", sf_dir, make), FACT_OBSERVATION)
-    return fact.groupBy("ingest_date").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("title").startswith("Again ")).alias("again")
-    )
+    return read_table(spark, _once(spark, "rebuilt", sf_dir, make), FACT_OBSERVATION)
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,9 +375,7 @@ def null_violations_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The observations of all sites against the dimensions of one."""
-    known = landed_orders(spark, sf_dir).filter(
-        (F.col("site") == "indeed") & F.col("job_url").isNotNull()
-    )
+    known = _landed_rows(spark, sf_dir).filter(F.col("site") == "indeed")
     tables = {
         DIM_COMPANY.name: build_dim_company(known),
         DIM_LOCATION.name: build_dim_location(known),
@@ -390,47 +394,62 @@ def schema_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     for table in ALL_TABLES:
         name = f"{database}.{table.name}"
         columns = spark.catalog.listColumns(name)
+        statistics = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Statistics'").select("data_type")
+        rows = F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long")
+        known = {r.rows for r in statistics.select(rows.alias("rows")).collect()}
         described.append(
             spark.table(name).agg(F.count(F.lit(1)).alias("rows")).select(
                 F.lit(table.name).alias("table_name"),
                 F.lit(len(columns)).alias("columns"),
                 F.lit(sum(bool(c.description) for c in columns)).alias("commented"),
                 "rows",
+                F.lit(known.pop() if known else None).cast("long").alias("rows_known"),
             )
         )
-    return reduce(DataFrame.unionAll, described)
+    result = scratch_dir(spark, "postledger-catalog")
+    reduce(DataFrame.unionAll, described).write.parquet(result)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.parquet(result)
 
 
-def publish_full_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _model(spark, sf_dir)
+def _published(table: Table) -> Query:
+    """One table of what is published, the second time that it was."""
 
-    def make(directory: str) -> None:
-        for _ in range(2):
-            publish_full(spark, model, directory)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def make(directory: str) -> None:
+            for _ in range(2):
+                publish_full(spark, _landed_rows(spark, sf_dir), directory)
+
+        return read_published(spark, _once(spark, "published", sf_dir, make))[table.name]
 
-    return read_published(spark, _once(spark, "published", sf_dir, make))["fact_posting"]
+    return query
 
 
 def publish_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _model(spark, sf_dir)
+    """The published observations after one date was replaced twice."""
 
     def make(directory: str) -> None:
-        relisted = landed_orders(spark, sf_dir).filter(F.col("job_url").isNotNull()).withColumn(
-            "title", F.concat(F.lit("Relisted "), F.col("title"))
-        )
-        build_model(relisted, f"{directory}/relisted")
-        publish_full(spark, model, f"{directory}/root")
+        landed = _landed_rows(spark, sf_dir)
+        build_model(_again(landed, "Relisted"), f"{directory}/relisted")
+        publish_full(spark, landed, f"{directory}/root")
         for _ in range(2):
             publish_partition(spark, f"{directory}/relisted", f"{directory}/root", AGAIN)
 
-    root = _once(spark, "one-date", sf_dir, make) + "/root"
-    return read_published(spark, root)["fact_posting_observation"].groupBy("ingest_date").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("title").startswith("Relisted ")).alias("relisted")
-    )
+    return read_published(spark, _once(spark, "one-date", sf_dir, make) + "/root")["fact_posting_observation"]
+
+
+def land_json_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations of a model built from scrapes that are landed as JSON lines."""
+
+    def make(directory: str) -> None:
+        land(spark, _order_scrapes(spark, sf_dir), f"{directory}/root", storage="json")
+        build_warehouse(spark, landing_dir(f"{directory}/root"), f"{directory}/model", storage="json")
+
+    return read_table(spark, _once(spark, "json", sf_dir, make) + "/model", FACT_OBSERVATION)
 
 
 def rerun_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = landed_orders(spark, sf_dir).filter(F.col("job_url").isNotNull())
+    landed = _landed_rows(spark, sf_dir)
     again = _once(spark, "rerun", sf_dir, lambda d: build_model(landed, d))
     runs = [read_model(spark, directory) for directory in (_model(spark, sf_dir), again)]
     compared = []
@@ -534,7 +553,9 @@ QUERIES: dict[str, Query] = {
     "null_violations": null_violations_found,
     "fk_violations": fk_violations,
     "schema_catalog": schema_catalog,
-    "publish_full": publish_full_twice,
+    "publish_full": _published(FACT_POSTING),
+    **{f"publish_full_{table.name}": _published(table) for table in ALL_TABLES if table != FACT_POSTING},
+    "land_json_build": land_json_build,
     "publish_partition": publish_one_date,
     "rerun_equal": rerun_equal,
     "corpus_profile": corpus_profile,

@@ -12,43 +12,44 @@ from postledger.schemas import LANDED_FIELDS
 
 # Raw locations, "#" standing for a number that varies by customer.
 LOCATIONS = (
-    "Halifax, NS, CA",
-    "halifax, ns, ca",
-    "Toronto, ON, CA",
-    "Toronto, Ontario, Canada",
-    "San Francisco, CA, US",
+    "Truro, NS, CA",
+    "truro, ns, ca",
+    "Guelph, ON, CA",
+    "Guelph, Ontario, Canada",
+    "Fresno, CA, US",
     "CA",
-    "Vancouver, British Columbia, Canada",
-    "Calgary, AB, CA",
-    "Austin, TX, US",
-    "Boston, Massachusetts, United States",
-    "Ottawa, Ontario",
-    "Seattle, WA",
-    "Dallas, TX",
-    "Toronto, ON, M5H 1H1",
+    "Kelowna, British Columbia, Canada",
+    "Lethbridge, AB, CA",
+    "Lubbock, TX, US",
+    "Worcester, Massachusetts, United States",
+    "Sudbury, Ontario",
+    "Spokane, WA",
+    "Amarillo, TX",
+    "Guelph, ON, N1G 2W1",
     "Remote, US",
-    "Toronto, TX, CA",
-    "16 YORK ST:TORONTO",
-    "Toronto Headquarters",
-    "Montreal - 1000 Rue; Calgary - 8th Ave SW; Halifax - Mumford Rd",
+    "Guelph, TX, CA",
+    "9 DOCK LANE:GUELPH",
+    "Guelph Main Office",
+    "Regina - 12 Pine; Gander - Gull Rd E; Truro - Mill Ln",
     "",
     None,
-    "San Francisco, CA",
-    "Berlin, DE",
-    "Town #, QC, Canada",
-    "Suite #, Town #, New York, USA",
-    " , Town # ,, bc , ",
-    "Yard # Building",
+    "Fresno, CA",
+    "Bremen, DE",
+    "Cove #, QC, Canada",
+    "Floor #, Cove #, New York, USA",
+    " , Cove # ,, bc , ",
+    "Shed # Annex",
     "United States of America",
     "REMOTE",
     "Remote, Nova Scotia",
-    "Washington, DC, USA",
+    "Georgetown, DC, USA",
     "Ontario",
-    "K1A 0B1",
+    "X0E 0T0",
 )
 
-# Rows per scrape file and date; more orders give more files, not larger ones.
-ORDERS_PER_SHARD = 20_000_000
+# Rows per file, and date; more rows give more files, not larger ones.
+ORDERS_PER_SHARD = 1_000_000
+SUPPLIERS_PER_SHARD = 1_000_000
 
 
 def _text(column: Column) -> Column:
@@ -97,7 +98,7 @@ def scraped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE c % 3 WHEN 0 THEN 'CAD' WHEN 1 THEN 'USD' END AS currency",
         "CASE c % 2 WHEN 0 THEN 'yearly' ELSE 'hourly' END AS interval",
         "quarter AS _ingest_date",
-        f"""concat('scrape-results-', quarter, '-part', k % 3, '-', k div {ORDERS_PER_SHARD}, '.csv')
+        f"""concat('scrape-results-', quarter, '-part', k % 3, '-[', k div {ORDERS_PER_SHARD}, '].csv')
              AS _source_file""",
         "concat('recruiter', c, '@mail.example') AS emails",
         """concat('Line one of ', k, '\\nline two, with a comma and a "quote"') AS description""",

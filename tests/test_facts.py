@@ -59,7 +59,7 @@ class TestObservations:
             currency="CAD", interval="yearly", job_type="fulltime"))[0]
         assert row.asDict() == {
             "ingest_date": dt.date(2026, 8, 1), "source_key": "indeed", "job_url": URL,
-            "title": "Software Engineer", "company_key": "acme", "location_key": "halifax|ns|ca",
+            "title": "Software Engineer", "company_key": "acme", "location_key": "truro|ns|ca",
             "date_posted": None, "job_type": "fulltime", "is_remote": True, "salary_min": 90000.0,
             "salary_max": None, "currency": "CAD", "salary_interval": "yearly",
             "source_file": f"scrape-results-{day(1)}-local-indeed.csv",

@@ -202,7 +202,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         _, store = _bpe_of(content)
         for batch in batches:
             at = 0
-            for texts in in_slices(batch.column(1).to_pylist()):
+            for texts in in_slices(batch.column(1)):
                 found = store.ids(texts)
                 ends = np.cumsum([0, *map(len, found)]) // 4
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(found), np.int32)))
@@ -229,3 +229,32 @@ def decode(tokens: DataFrame, tokenizer: str, id_col: str = "doc_id") -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(texts, pa.string())], [id_col, "ids", "text"])
 
     return rows.mapInArrow(run, f"{id_col} {kind}, ids array<int>, text string")
+
+
+def digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row's whole text encoded, and its ids decoded, as digests: (id, n_tokens, ids_sha256, decoded_sha256).
+
+    The first digest is that of the decimal ids joined by commas. Does what ``encode`` and
+    ``decode`` do, in one worker and without sending ids and texts back.
+    """
+    content = _content(docs, tokenizer)
+    rows = docs.select(F.col(id_col), text_or_empty(text_col).alias("_text"))
+    kind = rows.schema[id_col].dataType.simpleString()
+
+    def digest(text: str) -> str:
+        return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+    def run(batches):
+        bpe, store = _bpe_of(content)
+        for batch in batches:
+            counts, names, decoded = [], [], []
+            for texts in in_slices(batch.column(1)):
+                for data in store.ids(texts):
+                    ids = np.frombuffer(data, "<i4").astype(np.int64)
+                    counts.append(len(ids))
+                    names.append(digest(",".join(map(str, ids.tolist()))))
+                    decoded.append(digest(bpe.decode(ids)))
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(names, pa.string()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return rows.mapInArrow(run, f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

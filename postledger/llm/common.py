@@ -100,7 +100,7 @@ def units(text: str) -> list[str]:
 class UnitStore:
     """Ids of units that were encoded before. Forgets all when it is full."""
 
-    def __init__(self, encode, most_chars: int = 8_000_000):
+    def __init__(self, encode, most_chars: int = 4_000_000):
         """``encode`` gives the ids of each unit of a list, as bytes."""
         self.encode, self.most_chars = encode, most_chars
         self.clear()
@@ -143,13 +143,15 @@ def gathered(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
 
 
-def in_slices(texts: list[str], chars: int = 250_000) -> Iterator[list[str]]:
-    """The texts in order, some at a time, so that what is made of them stays small."""
-    begin = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= chars:
-            yield texts[begin : i + 1]
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        yield texts[begin:]
+def in_slices(column, chars: int = 250_000, rows: int = 128) -> Iterator[list[str]]:
+    """The texts of an Arrow column in order, some at a time, so that what is made of them stays small."""
+    for at in range(0, len(column), rows):
+        texts = [text or "" for text in column.slice(at, rows).to_pylist()]
+        begin = size = 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size >= chars:
+                yield texts[begin : i + 1]
+                begin, size = i + 1, 0
+        if begin < len(texts):
+            yield texts[begin:]

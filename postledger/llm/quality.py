@@ -211,8 +211,7 @@ def score(docs: DataFrame, model: Attention, threshold: float = 0.3, id_col: str
 
     def run(batches):
         for batch in batches:
-            texts = [text or "" for text in batch.column(2).to_pylist()]
-            found = [model.scores(*passage_features(some)) for some in in_slices(texts, 1_000_000)]
+            found = [model.scores(*passage_features(some)) for some in in_slices(batch.column(2))]
             scores = np.concatenate(found) if found else np.zeros(0)
             predicted = pa.array((scores >= threshold).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), predicted], [id_col, "held_out", "score", "predicted"])

@@ -4,22 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import hashlib
-
-import numpy as np
-import public_tokenizers
-import pyarrow as pa
-
 from postledger.llm import bpe, chat_format, exact_dedup, mixing, multiset_hash, quality, simhash, suffix_dedup, token_store, url_filter
 from postledger.llm.common import shuffle_partitions, table, written
 from postledger.storage import scratch_dir
 
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
-
-
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -85,25 +78,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
-def token_digests(tokens: DataFrame) -> DataFrame:
-    """Count and digests of ids and decoded text: (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
-
-    def run(batches):
-        for batch in batches:
-            ids = batch.column(1)
-            flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))
-            joined = [",".join(map(str, flat[b:e].tolist())) for b, e in zip(np.r_[0, ends[:-1]], ends, strict=True)]
-            digests = [[hashlib.sha256(x.encode()).hexdigest() for x in texts] for texts in (joined, batch.column(2).to_pylist())]
-            counts = pa.array(ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), counts, *map(pa.array, digests)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return tokens.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
-
-
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids and decoded text, as digests."""
-    path = public_tokenizers.path(TOKENIZER)
-    return token_digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -190,7 +190,7 @@ def _library(content, width: int) -> UnitStore:
             ids = [packed([token.id for token in tokenizer.model.tokenize(w)]) for w in named]
             return joined_words(parts, ids, lambda i: packed([i]))
 
-        cache[content.value, width] = UnitStore(encode)
+        cache[content.value, width] = UnitStore(encode, 6_000_000)
     return cache[content.value, width]
 
 
@@ -220,7 +220,7 @@ def write_tokens(
         keys, counts = [], []
         for batch in batches:
             keys += batch.column(0).to_pylist()
-            for texts in in_slices(batch.column(1).to_pylist(), 60_000):
+            for texts in in_slices(batch.column(1), 60_000):
                 parts = store.ids(texts)
                 counts += [len(part) // width + 1 for part in parts]
                 yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["value"])

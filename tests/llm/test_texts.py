@@ -1,5 +1,6 @@
 """Operators that work on texts in Python, against brute force."""
 
+import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -67,6 +68,10 @@ def test_bpe_on_tables(spark, library, clashing):
     expected = Counter((i, tuple(library.encode(t or "", add_special_tokens=False).ids), t or "") for i, t, _ in rows)
     assert Counter((r.doc_id, tuple(r.ids), r.text) for r in found) == expected
     assert bpe.encode(documents(spark, []), TOKENIZER).collect() == []
+    digests = Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.digests(documents(spark, rows, clashing), TOKENIZER).collect())
+    assert digests == Counter(
+        (r.doc_id, len(r.ids), hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest(), hashlib.sha256(r.text.encode()).hexdigest()) for r in found
+    )
 
 
 def test_store_forgets_when_full(library):
@@ -163,8 +168,6 @@ def test_fingerprints_add_up():
 
 @pytest.mark.parametrize("clashing", [False, True])
 def test_edited_texts(spark, clashing):
-    import hashlib
-
     rows = odd_rows()
     found = multiset_hash.fingerprints_and_edits(documents(spark, rows, clashing)).collect()
     assert Counter(r.doc_id for r in found) == Counter(i for i, _, _ in rows)

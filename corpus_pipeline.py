@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from postledger.llm import bpe, exact_dedup, mixing, quality, simhash
 from postledger.llm.common import free_name, only_ids, shuffle_partitions, table, written
-from postledger.llm.queries import TOKENIZER, token_digests
+from postledger.llm.queries import TOKENIZER
 from postledger.storage import scratch_dir
 
 
@@ -55,8 +55,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and decoded text of each row, as digests."""
-    path = public_tokenizers.path(TOKENIZER)
-    return token_digests(bpe.decode(bpe.encode(docs, path), path))
+    return bpe.digests(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [

@@ -113,8 +113,9 @@ def links(distinct: DataFrame, max_bits: int, tree_size: int = TREE_SIZE) -> Dat
         "fingerprint",
         F.explode(F.array(*[F.struct(F.lit(i).alias("block"), _block(F.col("fingerprint"), i, blocks).alias("value")) for i in range(blocks)])).alias("at"),
     ).select("fingerprint", "at.block", "at.value")
-    counted = placed.groupBy("block", "value").agg(F.count("*").alias("held")).filter("held > 1")
-    large = written(counted.filter(F.col("held") > tree_size), "large-shards") if 0 < max_bits <= 2 else None
+    # Written, so that the join with it shuffles both sides and a value that many share can be split.
+    counted = written(placed.groupBy("block", "value").agg(F.count("*").alias("held")).filter("held > 1"), "shared-blocks")
+    large = counted.filter(F.col("held") > tree_size) if 0 < max_bits <= 2 else None
     shards = 4 * shuffle_partitions(distinct.sparkSession)
     shared = placed.join(counted, ["block", "value"])
     if large is not None:
@@ -137,7 +138,7 @@ def links(distinct: DataFrame, max_bits: int, tree_size: int = TREE_SIZE) -> Dat
     # Little data but much work: a number of partitions that adaptive execution leaves alone.
     spread = dealt.repartition(shuffle_partitions(distinct.sparkSession), "shard")
     found = spread.groupBy("shard").applyInPandas(connect, "a long, b long")
-    if large is None:
+    if large is None or large.isEmpty():
         return found
     crowded = placed.join(large.select("block", "value"), ["block", "value"], "left_semi").select("fingerprint").distinct()
     bits = "transform(sequence(0, 63), i -> shiftleft(1L, i))"

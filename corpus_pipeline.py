@@ -1,7 +1,8 @@
 """A corpus pipeline: quality, exact dedup, near-dedup, mixing and tokens, stage by stage.
 
 Every stage reads what the one before has written, whole. All but the last give rows with the
-columns of ``documents``.
+columns of ``documents``. Ids may be NULL or repeat: each row follows the decision on itself, by
+a number it has within the stage.
 """
 
 from __future__ import annotations
@@ -11,46 +12,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postledger.llm import bpe, exact_dedup, mixing, quality, simhash
-from postledger.llm.common import free_name, only_ids, shuffle_partitions, table, written
+from postledger.llm.common import free_name, numbered, only_rows, shuffle_partitions, table, written
 from postledger.llm.queries import TOKENIZER
 from postledger.storage import scratch_dir
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the classifier rejects; rows that share an id stay if one of them is accepted."""
-    model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scores = written(quality.score(docs, model), "scores")
-    return only_ids(docs, scores.filter("predicted = 1"))
+    """Drops the rows whose text the classifier rejects."""
+    return quality.accepted(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each text."""
+    """Keeps one row of each text: the one with the smallest id, NULL last."""
+    rows, row = numbered(docs)
     index = exact_dedup.DigestIndex(
         spark, scratch_dir(spark, "digest-index"), docs.schema["doc_id"].dataType.simpleString(), shuffle_partitions(spark)
     )
-    verdicts = exact_dedup.exact_dedup(docs, index)
-    kept = only_ids(docs, verdicts.filter("kept"))
-    # Rows that repeat both id and text are there once.
-    digest = free_name(docs, "digest")
-    return kept.withColumn(digest, exact_dedup.text_digest("text")).dropDuplicates(["doc_id", digest]).drop(digest)
+    verdicts = exact_dedup.exact_dedup(rows, index, row_col=row)
+    return only_rows(rows, verdicts.filter("kept"), row)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates; rows that share an id are one."""
-    groups = simhash.near_duplicates(docs, shingle_words=3, max_bits=2)
-    return only_ids(docs, groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))).dropDuplicates(["doc_id"])
+    """Keeps one row of each group of near duplicates: the one with the smallest id, NULL last."""
+    rows, row = numbered(docs)
+    # An id that names one row, and sorts like doc_id.
+    key = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    groups = simhash.near_duplicates(rows.select(key.alias("key"), "text"), shingle_words=3, max_bits=2, id_col="key")
+    return only_rows(rows, groups.filter("key = component_id").select(F.col("key.row").alias(row)), row)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each document as often as the mix does: not at all, once or more.
-
-    Rows that share an id are all taken as often as the one that is taken most.
-    """
-    copies = mixing.mix(docs).groupBy(F.col("doc_id").alias("id")).agg(F.max("copies").alias("copies")).filter("copies > 0")
-    copy = free_name(docs, "copy")
-    own = [docs[f"`{c}`"] for c in docs.columns]
-    each = F.explode(F.sequence(F.lit(1).cast("long"), copies["copies"])).alias(copy)
-    return docs.join(copies, docs["doc_id"].eqNullSafe(copies["id"])).select(*own, each).drop(copy)
+    """Takes each row as often as the mix does: not at all, once or more."""
+    rows, row = numbered(docs)
+    copies = free_name(rows, "copies")
+    chosen = mixing.mix(rows, row_col=row).filter("copies > 0").select(F.col(row), F.col("copies").alias(copies))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(free_name(rows, "copy"))
+    return rows.join(chosen, row).select(*(F.col(f"`{c}`") for c in docs.columns), each).select(*(f"`{c}`" for c in docs.columns))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

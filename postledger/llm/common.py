@@ -40,10 +40,15 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def only_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is among ``ids``; NULL ids match each other."""
-    chosen = ids.select(F.col(id_col).alias("chosen")).distinct()
-    return docs.join(chosen, docs[id_col].eqNullSafe(chosen["chosen"]), "left_semi")
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, and the name of that column. Being written fixes the numbers."""
+    row = free_name(docs, "row")
+    return written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+
+
+def only_rows(rows: DataFrame, chosen: DataFrame, row: str) -> DataFrame:
+    """The rows whose number is among ``chosen``, without the number."""
+    return rows.join(chosen.select(row), row, "left_semi").drop(row)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -58,7 +58,7 @@ class DigestIndex:
         )
 
 
-def exact_dedup(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """A verdict for every row of ``docs``: (id, keep_id, group_size, kept, text_sha256).
 
     Texts are equal when they are identical with runs of blanks as one space. A text that the
@@ -69,15 +69,13 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", tex
     A NULL text counts as empty. A NULL id comes behind all others. Of rows that share id and
     text exactly one stays. Other columns of ``docs`` are not read, whatever their names. No
     rows give no rows.
+
+    ``row_col`` names a column that numbers the rows; it is given out as the last column.
     """
     batch = uuid4().hex
     # The row number tells apart rows that repeat an id. It is fixed by being written.
-    rows = written(
-        docs.select(
-            F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), text_digest(text_col).alias("digest")
-        ),
-        "digests",
-    )
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = written(docs.select(F.col(id_col).alias("id"), row.alias("row"), text_digest(text_col).alias("digest")), "digests")
     order = F.struct(F.col("id").isNull().alias("last"), "id", "row")
     groups = rows.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("group_size"))
     index.append(groups.select("digest", F.col("first.id").alias("keep_id"), F.col("first.row").alias("keep_row")), batch)
@@ -90,4 +88,5 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", tex
         "group_size",
         ((F.col("batch") == batch) & (F.col("row") == F.col("keep_row"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        *([F.col("row").alias(row_col)] if row_col else []),
     )

@@ -72,6 +72,7 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
     quality=word_length_quality,
+    row_col: str | None = None,
 ) -> DataFrame:
     """How much of each row the mix takes: (id, size, source_size, target, copies, taken).
 
@@ -85,15 +86,20 @@ def mix(
     text has size 0 and is part of each whole pass; NULL sources are one source, the last; a
     NULL id is hashed as the text "null". Other columns are not read. No rows give no rows.
 
+    ``row_col`` names a column that numbers the rows; it is given out as the last column, and
+    orders rows that are equal in all else.
+
     The order within a source is summed in groups of neighbouring keys, so a source that holds
     most rows is spread over many tasks.
     """
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("null")))
     uniform = (F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
+    row = [F.col(row_col).alias("row")] if row_col else []
+    number = ["row"] if row_col else []
     rows = written(
-        docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), text_col, word_count(text_col).alias("size"))
+        docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), text_col, word_count(text_col).alias("size"), *row)
         .withColumn("key", -F.log(uniform) / quality(text_col, F.col("size")))
-        .select("id", "source", "size", "key"),
+        .select("id", "source", "size", "key", *number),
         "mix-rows",
     )
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
@@ -113,10 +119,11 @@ def mix(
     starts = by_place.select(
         F.col("source").alias("_source"), F.col("place").alias("_place"), F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("start")
     )
-    within = Window.partitionBy("source", "place").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "place").orderBy("key", "id", "size", *number).rowsBetween(Window.unboundedPreceding, -1)
     middle = F.col("start") + F.coalesce(F.sum("size").over(within), F.lit(0)) + F.col("size") / 2
     return (
         placed.join(starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("place") == F.col("_place")))
         .withColumn("copies", F.col("passes") + F.when(middle <= F.col("left"), 1).otherwise(0))
-        .select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select(F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
+                *(F.col(n).alias(row_col) for n in number))
     )

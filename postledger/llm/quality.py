@@ -20,6 +20,8 @@ from postledger.llm.common import in_slices, written
 PASSAGE_WORDS = 64
 # Bounds of the labelled sample that weights are learned from.
 MAX_LABELLED, MAX_PASSAGES = 4000, 60_000
+# The score from which a text is predicted 1.
+THRESHOLD = 0.3
 
 
 def _classes() -> np.ndarray:
@@ -198,7 +200,19 @@ def fit(
     return fit_bags(features, counts, np.array([r["label"] for r in bags], np.float64))
 
 
-def score(docs: DataFrame, model: Attention, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def accepted(docs: DataFrame, model: Attention, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows that ``score`` predicts 1, with all their columns. Each row follows its own text, whatever its id."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            found = [model.scores(*passage_features(some)) for some in in_slices(batch.column(at))]
+            yield batch.filter(pa.array((np.concatenate(found) if found else np.zeros(0)) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def score(docs: DataFrame, model: Attention, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score every row's whole text: (id, held_out, score, predicted).
 
     ``score`` runs from 0 to 1, higher where label 1 is likelier; ``predicted`` is 1 from

@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from postledger.llm import queries
+from postledger.llm import mixing, queries
 from postledger.llm.common import table
 from tests.llm.rows import documents, odd_rows
 from tests.llm.test_texts import TOKENIZER, covered, fingerprint_by_bits, linked
@@ -107,6 +107,36 @@ def test_pipeline(spark, database, tmp_path):
     assert Counter(r.doc_id for r in final.collect()) == Counter(r.doc_id for r in mix.collect())
 
 
+def test_rows_of_an_id_follow_their_own_decisions(spark, database):
+    words = "harbour lantern meadow copper thistle window gravel orchard saddle pebble ribbon candle".split()
+    texts = [" ".join(f"{w}{n}" for w in words for n in range(k, k + 5)) for k in (10, 200, 3000)]
+    # Clean rows without an id, or that repeat one; and two copies, one of them the only row of its id.
+    rows = [(None, texts[0], "a"), (None, texts[1], "a"), (5, texts[2], "b"), (5, texts[0] + " more of it here", "b"), (5, texts[1], "b"), (4, texts[2], "b")]
+    once = corpus_pipeline.without_copies(spark, documents(spark, rows), SF_DIR).collect()
+    assert Counter((r.doc_id, r.text) for r in once) == Counter([(None, texts[0]), (5, rows[3][1]), (5, texts[1]), (4, texts[2])])
+    apart = corpus_pipeline.without_near_copies(spark, documents(spark, rows), SF_DIR).collect()
+    prints = [fingerprint_by_bits(t) for _, t, _ in rows]
+    root = linked(sorted(set(prints)), 2)
+    kept = {}
+    for (i, t, _), p in sorted(zip(rows, prints, strict=True), key=lambda x: (x[0][0] is None, x[0][0] or 0)):
+        kept.setdefault(root[p], (i, t))
+    assert Counter((r.doc_id, r.text) for r in apart) == Counter(kept.values()) and len(kept) >= 3
+
+    many = [(None if n % 2 else 7, "word " * (n + 20), "b" if n % 5 else "c") for n in range(60)]
+    docs = documents(spark, many)
+    copies = {r.size: r.copies for r in mixing.mix(docs).collect()}
+    mix = Counter(len(r.text.split()) for r in corpus_pipeline.mixed(spark, docs, SF_DIR).collect())
+    assert mix == Counter({size: n for size, n in copies.items() if n}) and len(set(copies.values())) > 1
+
+    good = database.execute("SELECT text FROM documents JOIN labels USING (doc_id) WHERE quality = 1 AND length(text) > 400 LIMIT 20").fetchall()
+    bad = database.execute("SELECT text FROM documents JOIN labels USING (doc_id) WHERE quality = 0 LIMIT 20").fetchall()
+    given = table(spark, SF_DIR, "documents")
+    extra = spark.createDataFrame([(None, t) for (t,) in good + bad], "doc_id long, text string")
+    kept = corpus_pipeline.good_quality(spark, given.unionByName(extra, allowMissingColumns=True), SF_DIR).filter("doc_id IS NULL").collect()
+    rejected = {t for (t,) in bad} - {r.text for r in kept}
+    assert len(rejected) >= 0.8 * len({t for (t,) in bad}) > 0 and len(kept) >= 0.8 * len(good)
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages_stand_odd_rows(spark, name, stage):
     docs = documents(spark, odd_rows(), clashing=True)

@@ -16,10 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postledger.llm.common import in_slices, written
+from postledger.llm.mixing import word_count
 
 PASSAGE_WORDS = 64
 # Bounds of the labelled sample that weights are learned from.
 MAX_LABELLED, MAX_PASSAGES = 4000, 60_000
+# A document of more than this part of the passages is learned from only where smaller ones leave room.
+LARGE = 64
+# This part of both bounds is kept free for the label that the other would crowd out.
+RESERVED = 16
 # The score from which a text is predicted 1.
 THRESHOLD = 0.3
 
@@ -159,45 +164,74 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def choose(sizes: list[tuple[int, int]], max_labelled: int, max_passages: int) -> list[int]:
+    """Places of the documents to learn from; ``sizes`` has (label, passages) of each, the preferred first.
+
+    A document that does not fit is passed over. Neither label takes the reserved part of the bounds.
+    """
+    rows, passages = {0: 0, 1: 0}, {0: 0, 1: 0}
+    free_rows, free_passages = -(-max_labelled // RESERVED), max_passages // RESERVED
+    chosen = []
+    for at, (label, size) in enumerate(sizes):
+        other = 1 - label
+        if max(rows[other], free_rows) + rows[label] < max_labelled and max(passages[other], free_passages) + passages[label] + size <= max_passages:
+            rows[label] += 1
+            passages[label] += size
+            chosen.append(at)
+    return chosen
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_passages: int = MAX_PASSAGES, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "quality",
 ) -> Attention:
     """Learn from labelled rows that are not held out.
 
-    The sample is bounded: the ``max_labelled`` labelled ids with the smallest hashes, and of
-    those as many whole documents as have ``max_passages`` passages together. Only their
-    features come to the driver. An id that has both labels is left out, as are NULL ids and
-    labels; of rows that repeat an id all count. Without both labels in the sample every score
-    will be the one label, or 0.5.
+    The sample is bounded: ``max_labelled`` whole documents that have ``max_passages`` passages
+    together, by hash of their ids, those above a ``LARGE`` part of the passages last and by
+    size. One that does not fit is passed over, and a ``RESERVED`` part of both bounds stays
+    free for either label. Only their features come to the driver. Ids that ``docs`` lacks do
+    not count. An id that has both labels is left out, as are NULL ids and labels; an id that
+    repeats is one row, the text with the smallest hash.
+
+    Where ``docs`` has one label only, every score will be that label; 0.5 where it has none.
+    Fails where no document of a label fits in the part of the passages reserved for it.
     """
     agreed = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
     agreed = agreed.agg(F.min(label_col).alias("label"), F.max(label_col).alias("most")).filter("label = most").select("id", "label")
-    chosen = agreed.filter(~held_out("id")).withColumn("order", F.xxhash64("id")).orderBy("order", "id").limit(max_labelled)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("id").isNotNull() & ~held_out("id"))
+    passages = F.greatest(F.lit(1), F.ceil(word_count("text") / PASSAGE_WORDS)).cast("long")
+    first = texts.select("id", F.struct(F.xxhash64("text").alias("hash"), passages.alias("passages")).alias("own")).groupBy("id").agg(F.min("own").alias("own"))
+    sized = first.join(agreed, "id").select("id", F.col("label").cast("int").alias("label"), F.xxhash64("id").alias("order"), "own.hash", "own.passages")
+    sized = written(sized, "labelled-sizes")
+    present = {r["label"] for r in sized.select("label").distinct().collect()}
+    large = F.when(F.col("passages") > max_passages // LARGE, F.col("passages")).otherwise(0)
+    fitting = sized.filter(F.col("passages") <= max_passages // RESERVED).withColumn("large", large)
+    # As many rows as the bound, of each label.
+    found = [r for label in sorted(present) for r in fitting.filter(F.col("label") == label).orderBy("large", "order", "id").limit(max_labelled).collect()]
+    if len(present) == 2 and {r["label"] for r in found} != present:
+        raise ValueError(f"no document of a label has {max_passages // RESERVED} passages or fewer; raise max_passages")
+    if len(present) < 2:
+        return fit_bags(np.zeros((0, FEATURES), np.float32), np.zeros(0, np.int64), np.array(sorted(present), np.float64))
+    found.sort(key=lambda r: (r["large"], r["order"], r["id"]))
+    taken = [found[at] for at in choose([(r["label"], r["passages"]) for r in found], max_labelled, max_passages)]
+    chosen = docs.sparkSession.createDataFrame([(r["id"], r["hash"]) for r in taken], sized.select("id", F.col("hash").alias("wanted")).schema)
     # The chosen ids are few by their bound.
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("order", "id", "label", "text")
+    rows = texts.join(F.broadcast(chosen), "id").filter(F.xxhash64("text") == F.col("wanted")).select("id", "text").dropDuplicates(["id"])
+    kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            for at, text in enumerate(batch.column(3)):
+            for at, text in enumerate(batch.column(1)):
                 features, counts = passage_features([text.as_py() or ""])
                 values = pa.array([features.tobytes()], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, 1), batch.column(2).slice(at, 1).cast(pa.int32()), pa.array(counts, pa.int64()), values],
-                    ["order", "label", "passages", "features"],
-                )
-
-    sample = written(rows.mapInArrow(run, "order long, label int, passages long, features binary"), "labelled-passages")
-    # An id may repeat, so rows are bounded too.
-    sizes = sample.select("order", "passages").orderBy("order").limit(max_labelled).collect()
-    kept, total = 0, 0
-    while kept < len(sizes) and total + sizes[kept]["passages"] <= max_passages:
-        total += sizes[kept]["passages"]
-        kept += 1
-    bags = sample.orderBy("order", "passages", "features").limit(kept).collect()
-    features = np.frombuffer(b"".join(bytes(r["features"]) for r in bags), np.float32).reshape(-1, FEATURES)
-    counts = np.array([r["passages"] for r in bags], np.int64)
-    return fit_bags(features, counts, np.array([r["label"] for r in bags], np.float64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 1), pa.array(counts, pa.int64()), values], ["id", "passages", "features"])
+
+    bags = {r["id"]: r for r in rows.mapInArrow(run, f"id {kind}, passages long, features binary").collect()}
+    taken.sort(key=lambda r: (r["order"], r["id"]))
+    features = np.frombuffer(b"".join(bytes(bags[r["id"]]["features"]) for r in taken), np.float32).reshape(-1, FEATURES)
+    counts = np.array([bags[r["id"]]["passages"] for r in taken], np.int64)
+    return fit_bags(features, counts, np.array([r["label"] for r in taken], np.float64))
 
 
 def accepted(docs: DataFrame, model: Attention, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:

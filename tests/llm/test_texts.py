@@ -317,6 +317,37 @@ def test_quality_learns_from_labels(spark):
     assert sorted(map(repr, again)) == sorted(map(repr, found))
 
 
+def test_quality_passes_over_what_does_not_fit(spark):
+    rows, labels = quality_rows()
+    wanted = dict(labels)
+    ids = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    order = {r.id: r.o for r in spark.range(300).selectExpr("id", "xxhash64(id) o").collect()}
+    first, second = sorted(ids, key=order.get)[:2]
+    texts = dict(rows)
+    # The first by hash is larger than the bound; the second repeats very often.
+    docs = documents(spark, [(i, texts[i]) for i in texts if i != first] + [(first, "huge " * 64 * 3000)] + [(second, texts[second] + f" {n}") for n in range(500)])
+    missing = [(10_000 + i, i % 2) for i in range(5000)]
+    known = spark.createDataFrame([*labels, *missing], "doc_id long, quality int")
+    found = quality.score(docs, quality.fit(docs, known, max_labelled=200, max_passages=2000)).collect()
+    held = [r for r in found if r.held_out]
+    assert len(held) > 30 and sum(r.predicted == wanted[r.doc_id] for r in held) >= 0.9 * len(held)
+
+
+def test_quality_fails_where_no_document_fits(spark):
+    docs = documents(spark, [(i, "word " * 64 * 200) for i in range(20)])
+    known = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    with pytest.raises(ValueError, match="max_passages"):
+        quality.fit(docs, known, max_passages=1000)
+
+
+def test_quality_sample_has_both_labels():
+    # A rare label that comes last, and documents that do not fit.
+    sizes = [(1, 1)] * 500 + [(0, 90)] + [(0, 1)] * 20
+    chosen = [sizes[at] for at in quality.choose(sizes, 160, 1000)]
+    assert chosen == [(1, 1)] * 150 + [(0, 90)] + [(0, 1)] * 9
+    assert quality.choose([(0, 50), (1, 60), (0, 900), (1, 5), (0, 5)], 10, 160) == [0, 1, 3, 4]
+
+
 def test_quality_without_labels(spark):
     docs = documents(spark, [(1, "a"), (2, "b")])
     none = spark.createDataFrame([], "doc_id long, quality int")

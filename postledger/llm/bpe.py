@@ -9,21 +9,16 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
+import re
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postledger.llm.common import UnitStore, gathered, in_slices, process_cache, text_or_empty
 
-# Fixed value: how byte-level vocabularies of this kind cut a text into words.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-# Marks behind a word; one or more of them are a word of their own.
-_CLOSING = ".,;:!?*&%$#"
-
 _NEVER = np.iinfo(np.int64).max
 
 
@@ -34,27 +29,29 @@ def byte_letters() -> list[str]:
     return [chr(b if b in shown else next(others)) for b in range(256)]
 
 
-def cut_words(found: list[str], words: regex.Pattern, marks: regex.Pattern | None, added: dict[str, int]) -> tuple[list[list[int]], list[str]]:
-    """For each unit its distinct words by place, added tokens as -1 - id; and the words.
+def word_cutter(content: bytes):
+    """Cuts a text into words as the tokenizers library does: (word in byte letters, place) each."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_buffer(content).pre_tokenizer.pre_tokenize_str
+
+
+def cut_words(found: list[str], cut, marks: re.Pattern | None, added: dict[str, int]) -> tuple[list[list[int]], list[str]]:
+    """For each unit its distinct words by place, added tokens as -1 - id; and the words, in byte letters.
 
-    ``marks`` splits a text at the added tokens, which are cut out before words are.
+    ``cut`` is a ``word_cutter``. ``marks`` splits a text at the added tokens, which are cut out
+    before words are.
     """
     place: dict[str, int] = {}
     parts: list[list[int]] = []
-    # A blank, letters and closing marks are words as they stand, where no added token is made of such alone.
-    plain = all(any(not (c.isalpha() or c in " " + _CLOSING) for c in token) for token in added)
     for unit in found:
-        core = unit.rstrip(_CLOSING)
-        if plain and (core[1:] if core[:1] == " " else core).isalpha():
-            own = [place.setdefault(core, len(place))]
-            if len(core) < len(unit):
-                own.append(place.setdefault(unit[len(core) :], len(place)))
-        elif marks and marks.search(unit):
+        if marks and marks.search(unit):
             own = []
             for i, piece in enumerate(marks.split(unit)):
-                own += [-1 - added[piece]] if i % 2 else [place.setdefault(w, len(place)) for w in words.findall(piece)]
+                own += [-1 - added[piece]] if i % 2 else [place.setdefault(w, len(place)) for w, _ in cut(piece)]
         else:
-            own = [place.setdefault(w, len(place)) for w in words.findall(unit)]
+            own = [place.setdefault(w, len(place)) for w, _ in cut(unit)]
         parts.append(own)
     return parts, list(place)
 
@@ -64,9 +61,9 @@ def joined_words(parts: list[list[int]], ids: list[bytes], added) -> list[bytes]
     return [ids[own[0]] if len(own) == 1 and own[0] >= 0 else b"".join([ids[p] if p >= 0 else added(-1 - p) for p in own]) for own in parts]
 
 
-def mark_pattern(added: dict[str, int]) -> regex.Pattern | None:
+def mark_pattern(added: dict[str, int]) -> re.Pattern | None:
     """Finds added tokens, the longest first."""
-    return regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+    return re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
 
 class ByteBpe:
@@ -107,7 +104,8 @@ class ByteBpe:
         self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.lengths = np.fromiter(map(len, pieces), np.int64, self.size)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.words = regex.compile(WORDS)
+        self.letter_bytes = {ord(c): b for c, b in to_byte.items()}
+        self.cut = word_cutter(content)
         self.marks = mark_pattern(self.added)
 
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,8 +160,8 @@ class ByteBpe:
 
     def encode_units(self, found: list[str]) -> list[bytes]:
         """The ids of each unit of a text (see ``units``), as bytes of 32-bit numbers."""
-        parts, words = cut_words(found, self.words, self.marks, self.added)
-        return joined_words(parts, self.merge([w.encode() for w in words]), lambda i: i.to_bytes(4, "little"))
+        parts, words = cut_words(found, self.cut, self.marks, self.added)
+        return joined_words(parts, self.merge([w.translate(self.letter_bytes).encode("latin-1") for w in words]), lambda i: i.to_bytes(4, "little"))
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD, ids of no token nothing."""

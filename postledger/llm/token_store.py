@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postledger.llm.bpe import ByteBpe, byte_letters, cut_words, joined_words
+from postledger.llm.bpe import ByteBpe, cut_words, joined_words
 from postledger.llm.common import UnitStore, in_slices, process_cache, shuffle_partitions, text_or_empty, written
 
 FOOTER = "<QQQQQQ8s"
@@ -173,7 +173,7 @@ def _library(content, width: int) -> UnitStore:
         tokenizer.no_truncation()
         tokenizer.no_padding()
         byte_level = ByteBpe(content.value)
-        letters = dict(enumerate(byte_letters()))
+        marks, added, cut = byte_level.marks, byte_level.added, tokenizer.pre_tokenizer.pre_tokenize_str
 
         def packed(ids: list[int]) -> bytes:
             if ids and max(ids) >= 1 << (8 * width):
@@ -181,13 +181,9 @@ def _library(content, width: int) -> UnitStore:
             return array("H" if width == 2 else "I", ids).tobytes()
 
         def encode(found: list[str]) -> list[bytes]:
-            # A unit is cut to words here, so that the library's model merges each word once.
-            parts, words = cut_words(found, byte_level.words, byte_level.marks, byte_level.added)
-            # Printable ASCII stands for itself, but for the space.
-            named = [
-                w.replace(" ", letters[32]) if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(letters) for w in words
-            ]
-            ids = [packed([token.id for token in tokenizer.model.tokenize(w)]) for w in named]
+            # The library cuts a unit to words, and its model merges each distinct word once.
+            parts, words = cut_words(found, cut, marks, added)
+            ids = [packed([token.id for token in tokenizer.model.tokenize(w)]) for w in words]
             return joined_words(parts, ids, lambda i: packed([i]))
 
         cache[content.value, width] = UnitStore(encode, 6_000_000)

@@ -49,6 +49,22 @@ def test_bpe_equals_the_library(own, library, texts):
         assert own.decode(ids.astype(np.int64)) == library.decode(expected, skip_special_tokens=False) == text
 
 
+def test_words_are_cut_like_the_library_of_any_character(own, library):
+    class Content:
+        value = library.to_str().encode()
+
+    stores = UnitStore(own.encode_units), token_store._library(Content, 4)
+    # Letters, digits and marks that classes of characters differ about, and a sample of all others.
+    points = [0x558, 0x560, 0x588, 0x5EF, 0x8A0, 0x1C90, 0x2B740, 0x1F9B0, 0x10EC2, 0x11F04, 0x1E4D0, 0x31350, *range(0x100, 0x110000, 61)]
+    for point in points:
+        if 0xD800 <= point < 0xE000:
+            continue
+        texts = [f"{chr(point)}'s", f"a{chr(point)} b", f" {chr(point)}漢1"]
+        expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        for store in stores:
+            assert [np.frombuffer(x, "<u4").tolist() for x in store.ids(texts)] == expected, hex(point)
+
+
 def test_bpe_long_words(own, library):
     draw = random.Random(1)
     words = ["a" * 5000, "ab" * 3000, "".join(draw.choice("etaoin") for _ in range(4000)), "!?" * 900]

@@ -9,17 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postledger.llm.url_terms import SOFT_TERMS, STRICT_TERMS
+
 # A term that rejects by itself weighs STRICT, one that needs company weighs SOFT.
 STRICT, SOFT = 2, 1
 
-VOCABULARY: dict[str, int] = {
-    **dict.fromkeys(["adult-x", "casino", "casinos", "escorts", "hentai", "porn", "porno", "spam-farm", "warez", "xxx"], STRICT),
-    **dict.fromkeys(
-        ["adult", "bet", "bonus", "cams", "cash", "click", "farm", "free", "jackpot", "loan", "nude", "pills", "poker", "sex", "slots",
-         "spam", "win", "x"],
-        SOFT,
-    ),
-}
+VOCABULARY: dict[str, int] = {**dict.fromkeys(STRICT_TERMS, STRICT), **dict.fromkeys(SOFT_TERMS, SOFT)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"

@@ -163,3 +163,14 @@ def test_url_filter(spark):
         13: ("b.example.com", "/de", None, "allow"), 14: ("é.org", "/FR/Porn", None, "block"),
         15: ("h\n.net", "/x", "net/", "block"), 16: ("a.net", "/", "net/", "block"),
     }
+
+
+def test_url_vocabulary_knows_usual_forms(spark):
+    vocabulary = url_filter.VOCABULARY
+    assert len(vocabulary) >= 300 and all(re.fullmatch("[a-z0-9]+", term) for term in vocabulary)
+    assert not set(url_filter.STRICT_TERMS) & set(url_filter.SOFT_TERMS)
+    bad = ["free-bets", "cheap-pills", "ads-track", "adult-x", "spam-farm", "sexy-girls", "betting-bonus", "quick-loans", "pokies", "escort", "slot-wins"]
+    good = ["cheap-flights", "track", "bets", "river-loans", "essex", "adsorption", "scunthorpe", "hot-springs", "news"]
+    pages = spark.createDataFrame([(name, f"http://{name}.example.com/en/1") for name in bad + good], "page_id string, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(pages).collect()}
+    assert got == {**dict.fromkeys(bad, "block"), **dict.fromkeys(good, "allow")}

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postledger.llm import bpe, chat_format, exact_dedup, mixing, multiset_hash, quality, simhash, suffix_dedup, token_store, url_filter
+from postledger.llm import (
+    bpe,
+    chat_format,
+    decontamination,
+    exact_dedup,
+    fill_middle,
+    lexical_search,
+    mixing,
+    multiset_hash,
+    quality,
+    simhash,
+    suffix_dedup,
+    token_store,
+    url_filter,
+)
 from postledger.llm.common import shuffle_partitions, table, written
 from postledger.storage import scratch_dir
 
@@ -89,6 +103,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), index)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each document occurs in the benchmark's items, and in which."""
+    found = decontamination.find_benchmarks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.digests(found)
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document made over for filling in its middle, and restored from that, as digests."""
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each item of the benchmark."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_multiset_hash": op2_multiset_hash,
@@ -100,9 +130,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_decontamination": op11_decontamination,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 _BLANKS, _WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
@@ -188,4 +222,57 @@ WITH digests AS (
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = min(doc_id) OVER same AS kept, text_sha256
 FROM digests WINDOW same AS (PARTITION BY text_sha256)""",
+    "op11_decontamination": rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_TERM}') AS w FROM documents),
+item_words AS (
+  SELECT item_id, w, least(len(w), 10) AS size
+  FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_TERM}') AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS said
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM item_words)),
+places AS (
+  SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS said
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, (SELECT DISTINCT size FROM windows))),
+found AS (SELECT DISTINCT doc_id, p.size, i, item_id FROM places p JOIN windows v ON p.size = v.size AND p.said = v.said),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op12_fill_middle": """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || doc_id) AS h FROM documents),
+drawn AS (
+  SELECT *, len(u) AS n, [('0x' || substr(h, 1 + 8 * i, 8))::BIGINT FOR i IN range(4)] AS d FROM cut),
+parted AS (
+  SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS a, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS b, CASE
+    WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR d[3] % 100 >= 90 THEN 'plain'
+    WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+said AS (
+  SELECT *, array_to_string(u[1 : a], '') AS p, array_to_string(u[a + 1 : b], '') AS m, array_to_string(u[b + 1 : n], '') AS s FROM parted)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM said""",
+    "op13_lexical_search": rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_TERM}') AS w FROM documents),
+held AS (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM words),
+counted AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM held GROUP BY ALL),
+size AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS terms FROM words WHERE len(w) > 0),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counted, size GROUP BY term, docs),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_TERM}')) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term), size GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }

@@ -10,6 +10,7 @@ from itertools import repeat
 
 import numpy as np
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,11 +42,31 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a number for each row, and the name of that column. Being written fixes the numbers."""
+    """``docs`` with a column that tells its rows apart, and the name of that column.
+
+    Rows of Parquet files are known by file and place, which stay what they are however often
+    the files are read. Others get a number, and are written, which fixes it.
+    """
     row = free_name(docs, "row")
+    with_place = _with_place(docs, row)
+    if with_place is not None:
+        return with_place, row
     return written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 
+def _with_place(docs: DataFrame, row: str) -> DataFrame | None:
+    """``docs`` with the file and place of each row; None where they are not rows of Parquet files."""
+    if "_metadata" in (c.lower() for c in docs.columns):
+        return None
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    try:
+        found = docs.withColumn(row, place)
+        found.schema  # noqa: B018
+    except AnalysisException:
+        return None
+    return found
+
+
 def only_rows(rows: DataFrame, chosen: DataFrame, row: str) -> DataFrame:
     """The rows whose number is among ``chosen``, without the number."""
     return rows.join(chosen.select(row), row, "left_semi").drop(row)

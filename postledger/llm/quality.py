@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from postledger.llm.common import in_slices, written
 from postledger.llm.mixing import word_count
@@ -246,6 +247,19 @@ def accepted(docs: DataFrame, model: Attention, threshold: float = THRESHOLD, te
     return docs.mapInArrow(run, docs.schema)
 
 
+def with_score(docs: DataFrame, model: Attention, column: str, text_col: str = "text") -> DataFrame:
+    """All columns of ``docs``, and the score of each row's text as ``column``, a new name."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            found = [model.scores(*passage_features(some)) for some in in_slices(batch.column(at))]
+            scores = pa.array(np.concatenate(found) if found else np.zeros(0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, column])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
+
+
 def score(docs: DataFrame, model: Attention, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score every row's whole text: (id, held_out, score, predicted).
 

@@ -189,10 +189,11 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 FROM whole""",
     "op8_mixing": rf"""
 WITH docs AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0) AS size, length(coalesce(text, '')) AS chars FROM documents),
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0) AS size, length(coalesce(text, '')) AS chars,
+    md5(coalesce(text, '')) AS digest, row_number() OVER (PARTITION BY doc_id, md5(coalesce(text, ''))) - 1 AS nth FROM documents),
 keyed AS (
   SELECT doc_id, source, size,
-    -ln((('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+    -ln((('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, 'null') || ':' || digest || ':' || nth), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
       / CASE WHEN size > 0 THEN greatest(0.05::DOUBLE, least((chars::DOUBLE / size) / 6, 6.0::DOUBLE / (chars::DOUBLE / size))) ELSE 0.05::DOUBLE END AS key
   FROM docs),
 sources AS (

@@ -174,3 +174,126 @@ def test_url_vocabulary_knows_usual_forms(spark):
     pages = spark.createDataFrame([(name, f"http://{name}.example.com/en/1") for name in bad + good], "page_id string, url string")
     got = {r.page_id: r.verdict for r in url_filter.judge_urls(pages).collect()}
     assert got == {**dict.fromkeys(bad, "block"), **dict.fromkeys(good, "allow")}
+
+
+class Broken(RuntimeError):
+    pass
+
+
+def test_a_batch_that_runs_again_keeps_what_it_kept(spark, tmp_path):
+    rows = odd_rows()
+    expected = None
+    for name in ("one", "two"):
+        index = index_at(spark, tmp_path / name)
+        exact_dedup.exact_dedup(documents(spark, [(900, "a"), (901, "seen before")]), index, batch="first")
+        if name == "two":
+            # The digests are entered, and then the job fails.
+            exact_dedup.exact_dedup(documents(spark, rows), index, batch="second")
+            index = index_at(spark, tmp_path / name)
+        found = exact_dedup.exact_dedup(documents(spark, rows), index, batch="second").collect()
+        verdicts = sorted(map(str, found))
+        expected = expected or verdicts
+        assert verdicts == expected and sum(r.kept for r in found) > 10
+        digests = [bytes(r.digest) for r in index.entries().collect()]
+        assert len(digests) == len(set(digests))
+    # Without its name the same rows are another batch, and all seen.
+    assert not any(r.kept for r in exact_dedup.exact_dedup(documents(spark, rows), index).collect())
+
+
+def test_a_batch_that_fails_before_it_is_logged_leaves_nothing(spark, tmp_path, monkeypatch):
+    index = index_at(spark, tmp_path / "index")
+    with monkeypatch.context() as broken:
+        broken.setattr(exact_dedup, "create_file", lambda *a: (_ for _ in ()).throw(Broken()))
+        with pytest.raises(Broken):
+            exact_dedup.exact_dedup(documents(spark, [(1, "a")]), index, batch="b")
+    assert index.entries().collect() == []
+    assert [r.kept for r in exact_dedup.exact_dedup(documents(spark, [(1, "a")]), index, batch="b").collect()] == [True]
+
+
+def test_two_batches_at_a_time(spark, tmp_path, monkeypatch):
+    index, entered = index_at(spark, tmp_path / "index"), []
+    real = exact_dedup.create_file
+
+    def late(*args):
+        if not entered:
+            entered.append(True)
+            exact_dedup.exact_dedup(documents(spark, [(1, "a"), (2, "b")]), index_at(spark, tmp_path / "index"), batch="other")
+        return real(*args)
+
+    monkeypatch.setattr(exact_dedup, "create_file", late)
+    found = exact_dedup.exact_dedup(documents(spark, [(3, "b"), (4, "c")]), index, batch="mine").collect()
+    assert {(r.doc_id, r.keep_id, r.kept) for r in found} == {(3, 2, False), (4, 4, True)} and index.entries().count() == 3
+
+
+def test_the_index_keeps_its_buckets(spark, tmp_path):
+    path = str(tmp_path / "index")
+    exact_dedup.exact_dedup(documents(spark, odd_rows()), exact_dedup.DigestIndex(spark, path, buckets=8))
+    with pytest.raises(ValueError, match="8 buckets, not 3"):
+        exact_dedup.DigestIndex(spark, path, buckets=3)
+    with pytest.raises(ValueError, match="ids of type bigint, not string"):
+        exact_dedup.DigestIndex(spark, path, id_type="string")
+    assert exact_dedup.DigestIndex(spark, path).buckets == 8
+
+
+def test_later_batches_neither_shuffle_nor_sort_the_index(spark, tmp_path):
+    index = index_at(spark, tmp_path / "index")
+    for n in range(4):
+        exact_dedup.exact_dedup(documents(spark, [(n, f"text {n}"), (10 + n, "shared")]), index, batch=str(n))
+    levels = index.levels()
+    assert len(levels) == 4
+    groups = documents(spark, [(1, "a")]).select(exact_dedup.text_digest("text").alias("digest"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with index._trusted_order():
+            plan = index.known(groups, levels)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    # One shuffle to the buckets and one sort, of the new digests; none above a scan of the index.
+    assert plan.count("SortMergeJoin") == 4 and plan.count("Exchange hashpartitioning(digest") == 1
+    assert plan.count("Sort [digest") == 1
+    before = sorted(map(str, index.entries().collect()))
+    index.compact()
+    assert len(index.levels()) == 2 and sorted(map(str, index.entries().collect())) == before
+    with pytest.raises(ValueError, match="batch 0 is compacted"):
+        exact_dedup.exact_dedup(documents(spark, [(1, "a")]), index, batch="0")
+    assert [r.kept for r in exact_dedup.exact_dedup(documents(spark, [(7, "text  1"), (8, "new")]), index).orderBy("doc_id").collect()] == [False, True]
+
+
+def test_every_row_has_a_draw_of_its_own(spark):
+    # A third of the rows have ids; others have none, repeat one, or are equal in id and text.
+    words = ["alpha beta", "gamma delta epsilon", "zeta"]
+    rows = [(i if i % 3 == 0 else None if i % 3 == 1 else 7, f"{words[i % 2]} w{i % 500 if i % 3 else i}", "a") for i in range(12_000)]
+    found = mixing.mix(documents(spark, rows), share=1.5).collect()
+    assert len(found) == len(rows) and sum(r.taken for r in found) == pytest.approx(found[0].target, rel=0.001)
+    kinds = {True: [], False: [], None: []}
+    for r in found:
+        kinds[None if r.doc_id is None else r.doc_id == 7].append(r.copies - 1)
+    rates = {k: sum(v) / len(v) for k, v in kinds.items()}
+    expected = sum(map(sum, kinds.values())) / len(found)
+    for kind, taken in kinds.items():
+        error = (expected * (1 - expected) / len(taken)) ** 0.5
+        assert abs(rates[kind] - expected) < 3 * error + 0.005, rates
+    # Rows of each size come about as often, whether ids are NULL or not.
+    again = mixing.mix(documents(spark, rows[::-1]).repartition(5), share=1.5).collect()
+    assert sorted(map(str, again)) == sorted(map(str, found))
+
+
+def test_weights_may_be_a_column(spark):
+    rows = documents(spark, [(i, "one two three", "a") for i in range(6000)]).selectExpr("*", "CASE WHEN doc_id % 2 = 0 THEN 1.0 ELSE 0.1 END AS w")
+    found = mixing.mix(rows, share=0.5, weight_col="w").collect()
+    heavy, light = (sum(r.copies for r in found if r.doc_id % 2 == n) / 3000 for n in (0, 1))
+    assert heavy > 0.8 and light < 0.2 and sum(r.taken for r in found) == pytest.approx(9000, abs=3)
+    nothing = mixing.mix(rows.selectExpr("doc_id", "text", "source", "CAST(NULL AS double) AS w"), weight_col="w").collect()
+    assert {r.copies for r in nothing} == {1, 2}
+
+
+def test_groups_of_a_source_are_even_whatever_it_weighs(spark, tmp_path, monkeypatch):
+    held = []
+    real = mixing.written
+    monkeypatch.setattr(mixing, "written", lambda df, name: held.append((name, real(df, name))) or held[-1][1])
+    docs = spark.range(200_000).selectExpr("id AS doc_id", "repeat('漢', CAST(20 + id % 50 AS int)) AS text", "'a' AS source")
+    mixing.mix(docs)
+    (ordered,) = [df for name, df in held if name == "mix-ordered"]
+    sizes = [r["count"] for r in ordered.groupBy("source", "place").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes)

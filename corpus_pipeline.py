@@ -26,7 +26,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Keeps one row of each text: the one with the smallest id, NULL last."""
     rows, row = numbered(docs)
     index = exact_dedup.DigestIndex(
-        spark, scratch_dir(spark, "digest-index"), docs.schema["doc_id"].dataType.simpleString(), shuffle_partitions(spark)
+        spark, scratch_dir(spark, "digest-index"), docs.schema["doc_id"].dataType.simpleString(), buckets=shuffle_partitions(spark)
     )
     verdicts = exact_dedup.exact_dedup(rows, index, row_col=row)
     return only_rows(rows, verdicts.filter("kept"), row)
@@ -42,10 +42,12 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each row as often as the mix does: not at all, once or more."""
+    """Takes each row as often as the mix does: not at all, once or more. Rows weigh what the classifier scores them."""
     rows, row = numbered(docs)
-    copies = free_name(rows, "copies")
-    chosen = mixing.mix(rows, row_col=row).filter("copies > 0").select(F.col(row), F.col("copies").alias(copies))
+    copies, weight = free_name(rows, "copies"), free_name(rows, "weight")
+    # The stages before hand on documents alone, so the score is learned and taken again.
+    scored = quality.with_score(rows, quality.fit(docs, table(spark, sf_dir, "labels")), weight)
+    chosen = mixing.mix(scored, row_col=row, weight_col=weight).filter("copies > 0").select(F.col(row), F.col("copies").alias(copies))
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(free_name(rows, "copy"))
     return rows.join(chosen, row).select(*(F.col(f"`{c}`") for c in docs.columns), each).select(*(f"`{c}`" for c in docs.columns))
 

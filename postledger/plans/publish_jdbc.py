@@ -5,7 +5,7 @@ they are never seen by readers. One short transaction on the driver then moves t
 rows in place, where the keys and references of the database check them.
 """
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 from uuid import uuid4
 
@@ -20,6 +20,7 @@ from pyspark.sql.types import (
     StringType,
 )
 
+from postledger.operators.changes import GONE, change_set
 from postledger.schemas import ALL_TABLES, FACT_OBSERVATION, FACTS, Table
 from postledger.sources.model import read_table
 
@@ -94,6 +95,26 @@ def replace_date_statements(ingest_date: str, run: str, schema: str = SCHEMA) ->
     ]
 
 
+def change_statements(run: str, schema: str = SCHEMA) -> list[str]:
+    """Statements that apply staged change sets: rows come before what refers to them, and go behind it."""
+    statements = []
+    for table in ALL_TABLES:
+        target, staged = table_name(table, schema), staged_name(table, run, schema)
+        same = " AND ".join(f"t.{c} = s.{c}" for c in table.key)
+        values = ", ".join(f"{c} = s.{c}" for c in table.columns if c not in table.key)
+        statements.append(
+            f"MERGE INTO {target} AS t USING {staged} AS s ON {same} "
+            f"WHEN MATCHED AND NOT s.{GONE} THEN UPDATE SET {values} "
+            f"WHEN NOT MATCHED AND NOT s.{GONE} THEN INSERT ({', '.join(table.columns)}) "
+            f"VALUES ({', '.join(f's.{c}' for c in table.columns)})"
+        )
+    for table in reversed(ALL_TABLES):
+        target, staged = table_name(table, schema), staged_name(table, run, schema)
+        same = " AND ".join(f"t.{c} = s.{c}" for c in table.key)
+        statements.append(f"DELETE FROM {target} AS t USING {staged} AS s WHERE {same} AND s.{GONE}")
+    return statements
+
+
 def statistics_statements(schema: str = SCHEMA) -> list[str]:
     """Statements that give the database fresh statistics of both facts."""
     return [f"ANALYZE {table_name(table, schema)}" for table in FACTS]
@@ -158,6 +179,31 @@ def publish_full_jdbc(
     return counts
 
 
+def publish_changes_jdbc(
+    old: Mapping[str, DataFrame],
+    new: Mapping[str, DataFrame],
+    url: str,
+    properties: dict[str, str],
+    connection: Any,
+    schema: str = SCHEMA,
+    stage=_stage,
+) -> dict[str, int]:
+    """Make the tables of a database that hold ``old`` hold ``new``, in one transaction; the rows changed in each.
+
+    Only the change sets between the two are sent: rows to insert or update, and keys to delete.
+    """
+    run = _new_run()
+    counts = {
+        table.name: _stage_counted(
+            stage, change_set(old[table.name], new[table.name], table.key), staged_name(table, run, schema), url, properties
+        )
+        for table in ALL_TABLES
+    }
+    _transact(connection, change_statements(run, schema))
+    _transact(connection, [*statistics_statements(schema), *_drop_staged(ALL_TABLES, run, schema)])
+    return counts
+
+
 def publish_partition_jdbc(
     spark: SparkSession,
     model_dir: str,

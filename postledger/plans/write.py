@@ -1,6 +1,6 @@
 """Table writes that report how many rows they wrote."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
@@ -12,15 +12,15 @@ from pyspark.sql.types import StructType
 from postledger.schemas import Table
 
 
-def write_table(df: DataFrame, model_dir: str, table: Table) -> int:
-    """Replace one table whole, in its declared columns; the number of rows written.
+def write_table(df: DataFrame, model_dir: str, table: Table, also: Sequence[str] = ()) -> int:
+    """Replace one table whole, in its declared columns and those of ``also``; the number of rows written.
 
     Rows are counted while they are written. A partitioned table is first rebalanced by
     its partition column: each date ends up in few files of good size, and adaptive
     execution splits a date that is larger than the others.
     """
     counted = Observation(f"{table.name}-{uuid4().hex}")
-    rows = df.select(*table.columns)
+    rows = df.select(*table.columns, *also)
     if table.partition_by:
         rows = rows.hint("rebalance", *table.partition_by)
     writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")

@@ -67,3 +67,27 @@ def file_headers(lines: DataFrame, header: Column) -> DataFrame:
 def header_of(columns: Sequence[str]) -> Column:
     """A header line."""
     return F.lit(",".join(columns))
+
+
+def _listed(spark, directory: str):
+    """The file system of a directory, and what lies right in it."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files, [status.getPath() for status in files.listStatus(root)]
+
+
+def remove_files(spark, directory: str, chosen) -> None:
+    """Remove the files of a directory whose names are ``chosen``."""
+    files, paths = _listed(spark, directory)
+    for path in paths:
+        if chosen(path.getName()):
+            files.delete(path, False)
+
+
+def replace_files(spark, source: str, target: str, chosen) -> None:
+    """Move the files of ``source`` whose names are ``chosen`` to ``target``, in place of those there."""
+    remove_files(spark, target, chosen)
+    files, paths = _listed(spark, source)
+    for path in paths:
+        if chosen(path.getName()):
+            files.rename(path, spark._jvm.org.apache.hadoop.fs.Path(f"{target}/{path.getName()}"))

@@ -9,8 +9,9 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postledger.functions import with_amounts, with_company, with_location, with_posted_date
+from postledger.functions import strip_blanks, with_amounts, with_company, with_location, with_posted_date
 from postledger.functions.location import LOCATION_COLUMNS
+from postledger.operators import changes, presence, sketches
 from postledger.operators.contracts import key_violations, null_violations, reference_violations
 from postledger.operators.dims import (
     build_dim_company,
@@ -23,7 +24,7 @@ from postledger.operators.fingerprint import fingerprint
 from postledger.operators.grain import smallest_per_key
 from postledger.plans import reports
 from postledger.plans.build import build_model, build_warehouse, rebuild_date
-from postledger.plans.land import land, landing_dir, read_manifest
+from postledger.plans.land import land, landing_dir, read_manifest, read_sketches
 from postledger.plans.publish import (
     create_catalog,
     publish_full,
@@ -31,7 +32,8 @@ from postledger.plans.publish import (
     read_published,
     refresh_statistics,
 )
-from postledger.proving.files import csv_line, file_headers, header_of, put_aside, write_scrapes
+from postledger.plans.refresh import publish_changes, publish_date
+from postledger.proving.files import csv_line, file_headers, header_of, put_aside, remove_files, replace_files, write_scrapes
 from postledger.proving.scrapes import (
     SUPPLIERS_PER_SHARD,
     landed_orders,
@@ -42,6 +44,7 @@ from postledger.proving.scrapes import (
 from postledger.schemas import (
     ALL_TABLES,
     DIM_COMPANY,
+    DIM_DATE,
     DIM_LOCATION,
     DIM_SOURCE,
     FACT_OBSERVATION,
@@ -215,6 +218,43 @@ def land_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landed(spark, landing_dir(root))
 
 
+# The date of which a file vanishes between two landings.
+LOST = "1996-01-01"
+
+
+def land_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is landed after files of one date were replaced and one of another was lost, and which dates were landed again."""
+
+    def make(directory: str) -> None:
+        source, root = f"{directory}/source", f"{directory}/root"
+        scraped = scraped_orders(spark, sf_dir)
+        _write_order_scrapes(spark, sf_dir, scraped, source)
+        land(spark, f"{source}/scrapes", root)
+        again = scraped.filter(F.col("_ingest_date") == AGAIN).withColumn("title", F.concat(F.lit("Again "), F.col("title")))
+        _write_order_scrapes(spark, sf_dir, again, f"{directory}/again")
+        replace_files(spark, f"{directory}/again/scrapes", f"{source}/scrapes", lambda name: AGAIN in name)
+        remove_files(spark, f"{source}/scrapes", lambda name: f"{LOST}-part1-" in name)
+        landed = [land(spark, f"{source}/scrapes", root, changed_only=True).select("ingest_date") for _ in range(2)]
+        runs = [df.withColumn("run", F.lit(n)) for n, df in enumerate(landed, start=2)]
+        runs[0].unionAll(runs[1]).write.parquet(f"{directory}/runs")
+
+    directory = _once(spark, "changed", sf_dir, make)
+    files = read_landed(spark, landing_dir(f"{directory}/root")).groupBy("_ingest_date", "_source_file").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("title").alias("first_title")
+    )
+    runs = spark.read.parquet(f"{directory}/runs").groupBy(F.col("ingest_date").cast("string").alias("_ingest_date")).agg(
+        F.array_join(F.array_sort(F.collect_list(F.col("run").cast("string"))), ",").alias("landed_again")
+    )
+    return files.join(runs, "_ingest_date", "left").withColumn("landed_again", F.coalesce("landed_again", F.lit("")))
+
+
+def land_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``land_csv``, read by tasks that share each file although fields hold line ends."""
+    paths = raw_scrape_paths(spark, _order_scrapes(spark, sf_dir))
+    rows = read_scrapes(spark, paths, split_quoted=True)
+    return rows.select(*[c for c in SCRAPED if c != "emails"], "benefits", "ingest_date", "_source_file")
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest that landing all orders has left."""
     return read_manifest(spark, _landed_scrapes(spark, sf_dir)).withColumns({
@@ -438,6 +478,76 @@ def publish_one_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_published(spark, _once(spark, "one-date", sf_dir, make) + "/root")["fact_posting_observation"]
 
 
+def _relisted(landed: DataFrame) -> DataFrame:
+    """The rows, those of one date as another scrape of it found them: some gone, some under another URL."""
+    kept = landed.filter((F.col("_ingest_date") != AGAIN) | (F.col("title") != "Engineer 3"))
+    that_day = F.col("_ingest_date") == AGAIN
+    moved = that_day & (F.col("title") == "Engineer 5")
+    return kept.withColumns({
+        "job_url": F.when(moved, F.concat("job_url", F.lit("/moved"))).otherwise(F.col("job_url")),
+        "title": F.when(that_day, F.concat(F.lit("Relisted "), F.col("title"))).otherwise(F.col("title")),
+    })
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a publication in full, of one date of it again, and of that date again."""
+
+    def make(directory: str) -> None:
+        landed = _landed_rows(spark, sf_dir)
+        publish_full(spark, landed, directory)
+        for _ in range(2):
+            publish_date(spark, _relisted(landed), directory, AGAIN)
+
+    return _once(spark, "refreshed", sf_dir, make)
+
+
+def _refreshed_table(table: Table) -> Query:
+    """One table of what is published after one date was, and all that follows from it."""
+    return lambda spark, sf_dir: read_published(spark, _refreshed(spark, sf_dir))[table.name]
+
+
+def version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the facts of two published versions differ."""
+    root = _refreshed(spark, sf_dir)
+    old, new = (read_published(spark, root, version) for version in (1, 3))
+    found = []
+    for table in (FACT_OBSERVATION, FACT_POSTING):
+        diff = changes.version_diff(old[table.name], new[table.name], table.key)
+        row = F.coalesce("after", "before")
+        found.append(diff.select(
+            F.lit(table.name).alias("table_name"), "job_url", "change", "rows", F.concat_ws(",", "columns").alias("columns"),
+            row["source_key" if table == FACT_OBSERVATION else "title"].alias("detail"),
+        ))
+    return reduce(DataFrame.unionAll, found)
+
+
+def _delta(spark: SparkSession, sf_dir: str) -> str:
+    """A publication brought up to date by change sets, and beside it what each of them held."""
+
+    def make(directory: str) -> None:
+        landed = _landed_rows(spark, sf_dir)
+        publish_full(spark, landed, f"{directory}/root")
+        build_model(_relisted(landed), f"{directory}/model")
+        wanted = read_model(spark, f"{directory}/model")
+        counts = publish_changes(spark, wanted, f"{directory}/root")
+        again = publish_changes(spark, wanted, f"{directory}/root")
+        held = [(name, *n.values(), sum(again[name].values())) for name, n in counts.items()]
+        columns = "table_name string, inserted long, updated long, deleted long, written_again long"
+        spark.createDataFrame(held, columns).write.parquet(f"{directory}/counts")
+
+    return _once(spark, "delta", sf_dir, make)
+
+
+def publish_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows inserted, updated and deleted of each table, and what publishing the same again wrote."""
+    return spark.read.parquet(f"{_delta(spark, sf_dir)}/counts")
+
+
+def _delta_table(table: Table) -> Query:
+    """One table of what is published by change sets."""
+    return lambda spark, sf_dir: read_published(spark, f"{_delta(spark, sf_dir)}/root")[table.name]
+
+
 def land_json_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The observations of a model built from scrapes that are landed as JSON lines."""
 
@@ -497,6 +607,44 @@ def open_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.open_by_date(_observed(spark, sf_dir))
 
 
+# Ranges that span gaps, one day, two words of bits, and nothing.
+RANGES = (("1992-01-01", "1992-12-31"), ("1994-02-01", "1996-08-15"), ("1997-04-01", "1997-04-01"), ("1990-01-01", "1999-01-01"), ("1980-01-01", "1980-02-01"))
+
+
+def open_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings open in each of some ranges, from the bits that a model's observations were made to."""
+    made = _once(spark, "presence", sf_dir, lambda d: presence.presence(_observed(spark, sf_dir)).write.parquet(f"{d}/presence"))
+    return presence.open_between(spark.read.parquet(f"{made}/presence"), presence.days_of(spark, RANGES))
+
+
+def visible_spells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presence.visible_spells(_observed(spark, sf_dir))
+
+
+def salary_spells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presence.salary_spells(_observed(spark, sf_dir))
+
+
+def weekend_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was seen on scrape dates that are weekends, the dates chosen by their dimension."""
+    weekends = read_table(spark, _model(spark, sf_dir), DIM_DATE).filter("is_weekend")
+    seen = presence.seen_on(_observed(spark, sf_dir), weekends, "day_name")
+    return seen.groupBy("ingest_date", "day_name", "source_key").agg(F.count(F.lit(1)).alias("sightings"))
+
+
+def urls_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct URLs of ranges of dates, and whether what the sketches say is within its bound of them."""
+    ranges = presence.days_of(spark, RANGES)
+    estimated = sketches.distinct_urls(read_sketches(spark, _landed_scrapes(spark, sf_dir)), ranges)
+    landed = _landed_rows(spark, sf_dir).select(F.col("_ingest_date").cast("date").alias("ingest_date"), F.nullif(strip_blanks(F.col("job_url")), F.lit("")).alias("url"))
+    met = sketches.dates_within(ranges).join(landed.distinct(), "ingest_date")
+    exact = met.groupBy("first", "last").agg(F.count_distinct("url").alias("found"))
+    counted = estimated.join(exact, ["first", "last"], "left").withColumn("exact", F.coalesce("found", F.lit(0)))
+    return counted.select(
+        "first", "last", "exact", (F.abs(F.col("urls") - F.col("exact")) <= sketches.BOUND * F.col("exact")).alias("within_bound")
+    )
+
+
 def weekly_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.weekly_churn(_posted(spark, sf_dir))
 
@@ -541,6 +689,8 @@ QUERIES: dict[str, Query] = {
     "land_drop_sensitive": land_drop_sensitive,
     "land_documents": land_documents,
     "land_replace": land_replace,
+    "land_changed": land_changed,
+    "land_split": land_split,
     "manifest": manifest,
     "read_landed": read_landed_rows,
     "read_landed_json": read_landed_lines,
@@ -557,12 +707,22 @@ QUERIES: dict[str, Query] = {
     **{f"publish_full_{table.name}": _published(table) for table in ALL_TABLES if table != FACT_POSTING},
     "land_json_build": land_json_build,
     "publish_partition": publish_one_date,
+    "refresh_postings": _refreshed_table(FACT_POSTING),
+    **{f"refresh_{table.name}": _refreshed_table(table) for table in ALL_TABLES if table != FACT_POSTING},
+    "version_diff": version_diff,
+    "publish_delta": publish_delta,
+    **{f"publish_delta_{table.name}": _delta_table(table) for table in ALL_TABLES},
     "rerun_equal": rerun_equal,
     "corpus_profile": corpus_profile,
     "id_collisions": id_collisions,
     "derived_new_urls": derived_new_urls,
     "open_on_date": open_on_date,
     "open_by_date": open_by_date,
+    "open_between": open_between,
+    "visible_spells": visible_spells,
+    "salary_spells": salary_spells,
+    "weekend_sightings": weekend_sightings,
+    "urls_by_range": urls_by_range,
     "weekly_churn": weekly_churn,
     "days_visible_dist": days_visible_dist,
     "days_visible_summary": days_visible_summary,

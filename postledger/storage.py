@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -55,3 +56,24 @@ def create_file(spark: SparkSession, path: str, text: str) -> bool:
     stream.write(bytearray(text.encode()))
     stream.close()
     return True
+
+
+def replace_directories(spark: SparkSession, source: str, target: str, names: Sequence[str]) -> None:
+    """Move directories ``names`` from ``source`` to ``target``, in place of those there; ``source`` goes.
+
+    What was there is moved aside first and deleted when all are in place, so a run that is cut
+    off between two renames has lost nothing; running the job again puts all in place.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    aside = f"{source}-before"
+    files.mkdirs(hadoop.Path(target))
+    files.mkdirs(hadoop.Path(aside))
+    for name in names:
+        there = hadoop.Path(f"{target}/{name}")
+        if files.exists(there) and not files.rename(there, hadoop.Path(f"{aside}/{name}")):
+            raise OSError(f"cannot move {there}")
+        if not files.rename(hadoop.Path(f"{source}/{name}"), there):
+            raise OSError(f"cannot move {source}/{name}")
+    for path in (source, aside):
+        files.delete(hadoop.Path(path), True)

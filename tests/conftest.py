@@ -10,12 +10,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[*]")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[*]"))
         .appName("postledger-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -7,9 +7,12 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from postledger.plans import publish_jdbc as jdbc
 from postledger.plans.build import build_model
 from postledger.schemas import ALL_TABLES, FACT_OBSERVATION
+from postledger.sources.model import read_model
 from tests.rows import landed, landed_row
 
 
@@ -114,3 +117,26 @@ def test_the_schema_may_be_created_again_and_again():
     assert "source_key text NOT NULL REFERENCES wh.dim_source(source_key)" in fact
     assert "PRIMARY KEY (ingest_date, source_key, job_url)" in fact
     assert [s for s in statements if s.startswith("COMMENT ON TABLE")] and "company's" not in fact
+
+
+def test_changes_are_merged_in_one_transaction(spark, model):
+    old, db = read_model(spark, model), Recorder()
+    fact = old["fact_posting"]
+    new = old | {
+        "fact_posting": fact.withColumn("title", F.lit("Cook")),
+        "dim_date": old["dim_date"].filter("day = 21"),
+    }
+    counts = jdbc.publish_changes_jdbc(old, new, "jdbc:x", BOUNDED, db, stage=db.stage)
+    assert counts == dict.fromkeys(old, 0) | {"fact_posting": 1, "dim_date": 1}
+    log = db.plain()
+    moved = log[6 : log.index("commit")]
+    assert [m.split()[:3] for m in moved[:6]] == [["MERGE", "INTO", f"wh.{t.name}"] for t in ALL_TABLES]
+    assert [m.split()[:3] for m in moved[6:]] == [["DELETE", "FROM", f"wh.{t.name}"] for t in reversed(ALL_TABLES)]
+    merge = moved[[t.name for t in ALL_TABLES].index("fact_posting_observation")]
+    assert "ON t.ingest_date = s.ingest_date AND t.source_key = s.source_key AND t.job_url = s.job_url WHEN MATCHED" in merge
+    assert "UPDATE SET title = s.title" in merge and "WHEN NOT MATCHED AND NOT s._gone THEN INSERT (ingest_date, " in merge
+    assert moved[6].endswith("WHERE t.job_url = s.job_url AND s._gone")
+    failing = Recorder(fail_at="DELETE FROM wh.dim_date")
+    with pytest.raises(RuntimeError):
+        jdbc.publish_changes_jdbc(old, new, "jdbc:x", BOUNDED, failing, stage=failing.stage)
+    assert failing.log[-1] == "rollback" and "commit" not in failing.log

@@ -113,7 +113,8 @@ def seen_on(observations: DataFrame, dates: DataFrame, *attributes: str) -> Data
     """The observations on the days that ``dates``, rows of ``dim_date``, choose, with ``attributes`` of these.
 
     The chosen days prune the partitions of the observations while the query runs, so only
-    these are read, whatever it is of a date that chose them.
+    these are read, whatever it is of a date that chose them. Spark does so where they were
+    chosen by a comparison, such as one of ``day_name`` or ``iso_week``, not by a bare flag.
     """
     chosen = dates.select(F.col("date").alias("_date"), *attributes)
     return observations.join(chosen, F.col("ingest_date") == F.col("_date")).drop("_date")

@@ -1,6 +1,7 @@
 """Land raw scrapes into one partition per ingest date."""
 
 from collections.abc import Iterator, Sequence
+from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql.types import DateType, LongType, StringType, StructField, Struc
 from postledger.fixed_values import SCRAPE_GLOB
 from postledger.operators.fingerprint import DIGEST, build_manifest, row_digest
 from postledger.operators.sketches import day_sketches
-from postledger.plans.write import empty_partition
+from postledger.plans.write import empty_partition, write_together
 from postledger.sources.scrapes import ScrapeError, raw_scrapes, read_scrapes
 from postledger.storage import path_exists, replace_directories
 
@@ -138,14 +139,14 @@ def _account(spark: SparkSession, files: DataFrame, root: str, dates: Sequence[s
     landed = spark.read.schema(_STORED).format(storage).load(landing_dir(root)).filter(F.col("ingest_date").isin(*dates))
     asked = spark.createDataFrame([(date,) for date in dates], "date string").select(F.col("date").cast("date").alias("ingest_date"))
     # A date's row comes out of the aggregates in one task, so it is one small file.
-    _overwrite(build_manifest(landed, asked), manifest_dir(root))
+    manifest = build_manifest(landed, asked)
     digests = landed.groupBy("ingest_date", F.col("_source_file").alias("file_name")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col(DIGEST).cast("decimal(38,0)")).cast("string").alias("fingerprint")
     )
     known = files.select("file_name", "bytes", "modified", "ingest_date").join(digests, ["ingest_date", "file_name"], "left")
-    _overwrite(day_sketches(landed), sketches_dir(root))
     states = known.withColumns({"rows": F.coalesce("rows", F.lit(0)), "fingerprint": F.coalesce("fingerprint", F.lit("0"))})
-    _overwrite(states.hint("rebalance", "ingest_date"), files_dir(root))
+    tables = {manifest_dir: manifest, sketches_dir: day_sketches(landed), files_dir: states.hint("rebalance", "ingest_date")}
+    write_together({where.__name__: partial(_overwrite, df, where(root)) for where, df in tables.items()}, spark)
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -179,4 +180,5 @@ def changed_dates(spark: SparkSession, files: DataFrame, root: str) -> set[str]:
 
 
 def _overwrite(df: DataFrame, directory: str) -> None:
+    """Replace the dates of ``df`` in a table and no others."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date").parquet(directory)

@@ -627,7 +627,7 @@ def salary_spells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weekend_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was seen on scrape dates that are weekends, the dates chosen by their dimension."""
-    weekends = read_table(spark, _model(spark, sf_dir), DIM_DATE).filter("is_weekend")
+    weekends = read_table(spark, _model(spark, sf_dir), DIM_DATE).filter(F.col("day_name").isin("Saturday", "Sunday"))
     seen = presence.seen_on(_observed(spark, sf_dir), weekends, "day_name")
     return seen.groupBy("ingest_date", "day_name", "source_key").agg(F.count(F.lit(1)).alias("sightings"))
 

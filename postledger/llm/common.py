@@ -6,7 +6,7 @@ import re
 import sys
 import types
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import xxhash
@@ -124,19 +124,20 @@ def units(text: str) -> list[str]:
 
 
 class UnitStore:
-    """Ids of units that were encoded before. Forgets all when it is full."""
+    """Ids of units that were encoded before. Forgets the older half when it is full."""
 
     def __init__(self, encode, most_chars: int = 4_000_000):
         """``encode`` gives the ids of each unit of a list, as bytes."""
         self.encode, self.most_chars = encode, most_chars
-        self.clear()
-
-    def clear(self) -> None:
         self.chars = 0
         self.whole: dict[str, bytes] = {}
         # Most units are a space and what follows; these are kept by the latter.
         self.spaced: dict[str, bytes] = {}
 
+    def _forget(self) -> None:
+        self.whole, self.spaced = (dict(islice(held.items(), len(held) // 2, None)) for held in (self.whole, self.spaced))
+        self.chars = sum(map(len, self.whole)) + sum(map(len, self.spaced))
+
     def _learn(self, plain: list[str], spaced: list[str]) -> None:
         kept = self.encode([*plain, *(" " + piece for piece in spaced)])
         self.whole.update(zip(plain, kept, strict=False))
@@ -153,9 +154,9 @@ class UnitStore:
                 pieces = text.split(" ")
                 cut.append((pieces[:1] if text else [], pieces[1:]))
         if self.chars > self.most_chars:
-            self.clear()
-        plain = {u for own, _ in cut for u in own if u not in self.whole}
-        spaced = {u for _, own in cut for u in own if u not in self.spaced}
+            self._forget()
+        plain = set().union(*(own for own, _ in cut)).difference(self.whole)
+        spaced = set().union(*(own for _, own in cut)).difference(self.spaced)
         if plain or spaced:
             self._learn(list(plain), list(spaced))
         whole, behind = self.whole.__getitem__, self.spaced.__getitem__

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -33,13 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postledger.llm.bpe import ByteBpe, cut_words, joined_words
+from postledger.llm.bpe import ByteBpe, byte_letters, cut_words, joined_words
 from postledger.llm.common import UnitStore, in_slices, process_cache, shuffle_partitions, text_or_empty, written
 
 FOOTER = "<QQQQQQ8s"
 MAGIC = b"PLTOKEN1"  # little-endian throughout
 MAX_LEVELS = 48
 SHARD_BYTES = 64 * 1024 * 1024
+# Units that a byte-level pre-tokenizer cuts in two at most: Latin letters, all of which are
+# letters in every version of Unicode, a space before and marks behind them.
+PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([.,;:!?]{0,8})")
 
 
 def _key_hash(key, seed: int) -> int:
@@ -174,18 +178,40 @@ def _library(content, width: int) -> UnitStore:
         tokenizer.no_padding()
         byte_level = ByteBpe(content.value)
         marks, added, cut = byte_level.marks, byte_level.added, tokenizer.pre_tokenizer.pre_tokenize_str
+        merge, plain, letters, kind = tokenizer.model.tokenize, PLAIN.fullmatch, dict(enumerate(byte_letters())), "H" if width == 2 else "I"
+        ends: dict[str, bytes] = {"": b""}
 
         def packed(ids: list[int]) -> bytes:
-            if ids and max(ids) >= 1 << (8 * width):
-                raise ValueError(f"ids need more than {width} bytes")
-            return array("H" if width == 2 else "I", ids).tobytes()
+            try:
+                return array(kind, ids).tobytes()
+            except OverflowError:
+                raise ValueError(f"ids need more than {width} bytes") from None
 
-        def encode(found: list[str]) -> list[bytes]:
+        def of_words(found: list[str]) -> list[bytes]:
             # The library cuts a unit to words, and its model merges each distinct word once.
             parts, words = cut_words(found, cut, marks, added)
-            ids = [packed([token.id for token in tokenizer.model.tokenize(w)]) for w in words]
+            ids = [packed([token.id for token in merge(w)]) for w in words]
             return joined_words(parts, ids, lambda i: packed([i]))
 
+        def encode(found: list[str]) -> list[bytes]:
+            out: list[bytes] = []
+            others: list[int] = []
+            for i, unit in enumerate(found):
+                cut_here = plain(unit)
+                if cut_here is None or (marks and marks.search(unit)):
+                    others.append(i)
+                    out.append(b"")
+                    continue
+                # One word, and what closes it: the library would cut here, too.
+                word, end = cut_here.groups()
+                if end not in ends:
+                    ends[end] = packed([token.id for token in merge(end)])
+                word = word.replace(" ", letters[0x20]) if word.isascii() else word.encode().decode("latin-1").translate(letters)
+                out.append(packed([token.id for token in merge(word)]) + ends[end])
+            for i, ids in zip(others, of_words([found[i] for i in others]), strict=True):
+                out[i] = ids
+            return out
+
         cache[content.value, width] = UnitStore(encode, 6_000_000)
     return cache[content.value, width]
 

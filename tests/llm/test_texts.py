@@ -394,3 +394,18 @@ def test_quality_gradients():
             down = loss()
             w[k][at] = before
             assert g[at] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-6)
+
+
+def test_plain_words_are_cut_like_the_library(library):
+    """Every letter that the direct path takes, before, between and behind others, and every mark."""
+
+    class Content:
+        value = library.to_str().encode()
+
+    store = token_store._library(Content, 4)
+    letters = [chr(c) for c in range(0x180) if token_store.PLAIN.fullmatch(chr(c))]
+    assert len(letters) == 52 + 62 + 128
+    texts = [f"{a}{c}{b}{m}" for c in letters for a, b, m in (("", "", "."), (" ", "", ""), (" x", "y", ","), ("é", "", "?!"), ("", "ſ", ":;"))]
+    texts += [f" word{m}" for m in (".", "..", "...", ",,", "!?", ";" * 8, ";" * 9, ".'s", "'s", ". ", ".\n")]
+    for text in texts:
+        assert np.frombuffer(store.ids([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text

@@ -106,9 +106,10 @@ def publish_date(spark: SparkSession, landed: DataFrame, root: str, ingest_date:
     write_counts(rows, now, here)
 
     def entry(last: Row) -> dict:
-        old, new = entry_of(last), swapped_entry(last, ingest_date, directory)
+        old = entry_of(last)
         if not old["following"]:
             raise ValueError("what is published was changed without its postings or dimensions; publish it in full first")
+        new = swapped_entry(last, ingest_date, directory)
         # Made anew for every entry that this may follow.
         attempt = f"refresh-{uuid4().hex}"
         target = f"{root}/{attempt}"

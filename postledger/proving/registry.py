@@ -23,6 +23,7 @@ from postledger.operators.facts import build_observations, build_postings, confo
 from postledger.operators.fingerprint import fingerprint
 from postledger.operators.grain import smallest_per_key
 from postledger.plans import reports
+from postledger.plans.buckets import read_bucketed, sightings_by_age, write_bucketed
 from postledger.plans.build import build_model, build_warehouse, rebuild_date
 from postledger.plans.land import land, landing_dir, read_manifest, read_sketches
 from postledger.plans.publish import (
@@ -661,6 +662,22 @@ def salary_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.salary_changes(_observed(spark, sf_dir))
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Both facts of the model in as many buckets as a shuffle has partitions."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    model = _model(spark, sf_dir)
+    return read_bucketed(spark, _once(spark, "buckets", sf_dir, lambda d: write_bucketed(spark, model, d, buckets)))
+
+
+def salary_changes_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.salary_changes(_bucketed(spark, sf_dir)[FACT_OBSERVATION.name])
+
+
+def sightings_by_age_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = _bucketed(spark, sf_dir)
+    return sightings_by_age(facts[FACT_OBSERVATION.name], facts[FACT_POSTING.name])
+
+
 def salary_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.salary_profile(_observed(spark, sf_dir))
 
@@ -727,6 +744,8 @@ QUERIES: dict[str, Query] = {
     "days_visible_dist": days_visible_dist,
     "days_visible_summary": days_visible_summary,
     "salary_changes": salary_changes,
+    "salary_changes_bucketed": salary_changes_bucketed,
+    "sightings_by_age": sightings_by_age_bucketed,
     "salary_profile": salary_profile,
     "postings_by_region": postings_by_region,
 }

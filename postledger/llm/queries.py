@@ -144,12 +144,10 @@ def _fits(host: str, start: str) -> str:
     return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{start}'))"
 
 
-def _term(term: str) -> str:
-    return f"regexp_matches(folded, '(^|[^a-z0-9]){term}($|[^a-z0-9])')::BIGINT"
-
-
-def _terms(weight: int) -> str:
-    return " + ".join(_term(t) for t, w in url_filter.VOCABULARY.items() if w == weight)
+def _vocabulary() -> str:
+    """Terms with their stems and weights, as rows."""
+    stem_of = url_filter.stems(url_filter.VOCABULARY)
+    return ", ".join(f"('{term}', '{stem_of[term]}', {weight})" for term, weight in url_filter.VOCABULARY.items())
 
 
 SQL: dict[str, str] = {
@@ -158,20 +156,34 @@ WITH parts AS (
   SELECT page_id,
     translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), {_AZ}) AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
-    translate(coalesce(url, ''), {_AZ}) AS folded
+    translate(url_decode(coalesce(url, '')), {_AZ}) AS folded
   FROM pages),
+vocabulary(term, stem, weight) AS (VALUES {_vocabulary()}),
+glued AS (
+  SELECT l.term || r.term AS word, unnest([l.stem, r.stem]) AS stem, unnest([l.weight, r.weight]) AS weight
+  FROM vocabulary l, vocabulary r WHERE length(l.term) >= {url_filter.GLUED} AND length(r.term) >= {url_filter.GLUED}),
+known AS (SELECT DISTINCT * FROM (SELECT * FROM vocabulary UNION ALL SELECT * FROM glued) AS v(word, stem, weight)),
+words AS (
+  SELECT page_id, unnest(regexp_extract_all(folded, '[a-z0-9]+')) AS word, false AS hosted FROM parts
+  UNION ALL SELECT page_id, unnest(regexp_extract_all(translate(url_decode(host), {_AZ}), '[a-z0-9]+')), true FROM parts),
+hits AS (
+  SELECT page_id,
+    count(DISTINCT stem) FILTER (NOT hosted AND weight = {url_filter.STRICT}) AS strict_hits,
+    count(DISTINCT stem) FILTER (NOT hosted AND weight = {url_filter.SOFT}) AS soft_hits,
+    count(DISTINCT stem) FILTER (hosted AND weight = {url_filter.SOFT}) AS soft_in_host
+  FROM words JOIN known USING (word) GROUP BY page_id),
 judged AS (
   SELECT page_id, host, path, CASE
       WHEN {_fits("example.net", "/en/")} THEN 'example.net/en/'
       WHEN {_fits("example.com", "/de/")} THEN 'example.com/de/'
       WHEN {_fits("org", "/fr/")} THEN 'org/fr/'
       WHEN {_fits("net", "/")} THEN 'net/' END AS rule,
-    {_terms(url_filter.STRICT)} AS strict_hits, {_terms(url_filter.SOFT)} AS soft_hits
-  FROM parts)
+    coalesce(strict_hits, 0) AS strict_hits, coalesce(soft_hits, 0) AS soft_hits, coalesce(soft_in_host, 0) AS soft_in_host
+  FROM parts LEFT JOIN hits USING (page_id))
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-    WHEN strict_hits > 0 OR soft_hits >= 2 THEN 'block' ELSE 'allow' END AS verdict,
-  strict_hits, soft_hits
+    WHEN strict_hits > 0 OR soft_hits >= 3 OR soft_in_host >= 2 THEN 'block' ELSE 'allow' END AS verdict,
+  strict_hits, soft_hits, soft_in_host
 FROM judged""",
     "op6_chat_format": r"""
 WITH turns AS (

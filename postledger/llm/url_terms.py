@@ -7,25 +7,31 @@ camshow camshows camwhore camwhores chatroulette chaturbate clit clits cocksucke
 cumshots cunt cunts cybersex deepthroat dildo dildos doujin doujinshi ejaculation erotic erotica escort escorts
 escortservice fetish fetishes footfetish fuck fucked fucker fucking fucks futanari gangbang gangbangs gloryhole handjob
 handjobs hardcoresex hentai hooker hookers horny jizz lesbiansex livejasmin livesex masturbate masturbating milf milfs
-nsfw nudes nudism nudist nudists nympho nymphos onlyfans orgies orgy pedo pegging porn porno pornhub pornography pornos
+nsfw nudism nudist nudists nympho nymphos onlyfans orgies orgy pedo porn porno pornhub pornography pornos
 pornstar pornstars pornvideo pornvideos porns prostitute prostitutes pussies pussy redtube rimjob sexcam sexcams sexchat
 sexdating sexshop sextape sextapes sextoy sextoys sexvideo sexvideos shemale shemales slut sluts softcore striptease
-stripper strippers swinger swingers threesome threesomes tits titties topless tranny trannies upskirt upskirts vibrator
-vibrators voyeur voyeurs webcamsex whore whores xhamster xnxx xvideos xxx xxxvideo xxxvideos youporn
+stripper strippers swinger swingers threesome threesomes titties tranny trannies upskirt upskirts
+voyeur voyeurs webcamsex whore whores xhamster xnxx xvideos xxx xxxvideo xxxvideos youporn
 
-baccarat betfair bookie bookies casino casinos craps freebet freebets freespins gambling jackpots keno onlinecasino
-onlinecasinos onlinepoker pokie pokies roulette slotmachine slotmachines slotsonline sportsbet sportsbetting sportsbook
-sportsbooks videopoker videoslots wagering
+baccarat betfair bookie bookies casino casinos freebet freebets freespins jackpots keno onlinecasino
+onlinecasinos onlinepoker pokie pokies slotmachine slotmachines slotsonline sportsbet sportsbetting sportsbook
+sportsbooks videopoker videoslots
 
-acomplia adderall alprazolam ambien ativan carisoprodol cialis clenbuterol clonazepam diazepam dianabol fioricet
-hydrocodone kamagra klonopin levitra lorazepam lunesta modafinil oxycodone oxycontin percocet phentermine propecia
-provigil ritalin sildenafil tadalafil tramadol valium vardenafil viagra vicodin vicodine xanax xenical zolpidem
+acomplia cialis clenbuterol dianabol
+kamagra levitra
+viagra vicodine
 
-crackz keygen keygens nulled serialz torrentz warez warezsite paydayloan paydayloans spammer spammers
+crackz keygen keygens nulled serialz torrentz warez warezsite paydayloan paydayloans
 """.split()
 
 # A term that needs another beside it.
 SOFT_TERMS = """
+nudes pegging tits topless vibrator vibrators craps gambling roulette wagering spammer spammers
+
+adderall alprazolam ambien ativan carisoprodol clonazepam diazepam fioricet hydrocodone klonopin lorazepam lunesta
+modafinil oxycodone oxycontin percocet phentermine propecia provigil ritalin sildenafil tadalafil tramadol valium
+vardenafil vicodin xanax xenical zolpidem
+
 cum adult adults amateur amateurs babe babes bikini bikinis cam cams dating flirt flirting girl girls hot hottest hookup
 hookups kinky kiss lesbian lesbians lingerie massage massages mature naked nude nudity panties sensual sex sexes sexier
 sexiest sexual sexually sexy singles strip teen teens webcam webcams x

@@ -176,6 +176,39 @@ def test_url_vocabulary_knows_usual_forms(spark):
     assert got == {**dict.fromkeys(bad, "block"), **dict.fromkeys(good, "allow")}
 
 
+# Named by hand: what a reader of the URL would call junk, and pages that merely speak of such things.
+JUNK_URLS = """
+freecasino.com/ www.casinos-online.net/x best.com/%63asino a.io/%43%41%53%49%4E%4F bet-bonus.com/ cheap-viagra.org/buy hotgirls.tv/
+sexcams.com/live b.com/free-xxx-movies pornhub.com/view c.net/poker/bonus/free-spins pills-discount.biz/ payday-loan.co/ spins.win.com/
+quickcash.loans/ d.com/warez/keygen luckyslots.co/free/slots/bonus/win e.org/hentai/3 xvideos.com/a adult-dating.info/ teen-webcams.net/
+forex-profits.biz/ f.com/buy-cheap-cialis replica-rolex.shop/ sportsbook.ag/ g.com/online-casino-bonus nudewebcam.com/ click-track.ads.net/
+""".split()
+ORDINARY_URLS = """
+a.org/health/diazepam b.com/credit/loans c.org/drug/prescription d.com/sport/winning-stakes e.com/gift/discount f.org/crypto/mortgage
+g.edu/adult-teens/books h.com/girl/kiss news.com/economy/interest-rates i.org/deal/deals j.net/ad/ads
+wikipedia.org/wiki/Essex scunthorpe.gov.uk/ l.org/birds/great-tits m.com/analysis/adsorption n.org/currency/pegging o.edu/library/downloads
+bank.com/mortgages p.com/shop/gift-vouchers q.org/cancer/drugs r.com/recipes/hot-cross-buns s.net/games/dice t.com/track/42 u.org/casinoroyale
+pharmacy.edu/courses v.com/music/singles w.com/tv/girls lottery.gov/results x.com/i y.org/ritalin z.com/law/gambling cocktails.com/list
+""".split()
+
+
+def test_url_filter_on_named_urls(spark):
+    pages = spark.createDataFrame([(u, f"https://{u}") for u in JUNK_URLS + ORDINARY_URLS], "page_id string, url string")
+    blocked = {r.page_id for r in url_filter.judge_urls(pages).collect() if r.verdict == "block"}
+    assert set(JUNK_URLS) <= blocked
+    assert not blocked & set(ORDINARY_URLS)
+
+
+def test_stems_are_terms_and_inflections_are_one_hit(spark):
+    found = url_filter.stems(url_filter.VOCABULARY)
+    assert set(found.values()) <= set(url_filter.VOCABULARY) and all(found[s] == s for s in found.values())
+    same = {"bets": "bet", "betting": "bet", "bettors": "bet", "lotteries": "lottery", "sexiest": "sex", "advertising": "advertise", "ads": "ad", "hottest": "hot"}
+    assert {term: found[term] for term in same} == same
+    url = f"http://a.org/{'deal/deals/' * 50_000}"
+    row = url_filter.judge_urls(spark.createDataFrame([(1, url)], "page_id int, url string")).first()
+    assert (row.strict_hits, row.soft_hits, row.soft_in_host, row.verdict) == (0, 1, 0, "allow")
+
+
 class Broken(RuntimeError):
     pass
 

@@ -1,6 +1,6 @@
 """Write rows as the CSV files a scraper would have left."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
@@ -19,29 +19,31 @@ def csv_line(*cells: Column) -> Column:
     return F.concat_ws(",", *quoted)
 
 
-def write_scrapes(lines: DataFrame, headers: DataFrame, directory: str) -> None:
-    """Write ``lines`` (``file``, ``line``) as files named ``file`` under ``directory``.
+def write_scrapes(rows: DataFrame, lines_of: Callable[[DataFrame], DataFrame], header: Column, directory: str, target: str | None = None) -> None:
+    """Write ``rows`` as CSV files to ``target``, by way of ``directory``; ``lines_of`` adds to each row its ``file`` and its ``line``.
 
-    ``headers`` (``file``, ``line``) gives the first line of each file. Spark names the
-    files it writes itself, so they are written under one directory per name and renamed.
+    ``header``, an expression over ``file``, gives the first line of each file. Rows are shuffled
+    and sorted as they are given and only then made into lines, which are far longer. Spark names
+    the files it writes itself, so they are written under one directory per name and renamed.
+    Where no ``target`` is named it is a folder of ``directory``.
     """
-    spark = lines.sparkSession
-    rows = headers.withColumn("rank", F.lit(0)).unionByName(lines.withColumn("rank", F.lit(1)))
+    spark = rows.sparkSession
+    names = lines_of(rows).select(F.col("file").alias("_name")).distinct()
+    every = rows.withColumn("_rank", F.lit(1)).unionByName(names.withColumn("_rank", F.lit(0)), allowMissingColumns=True)
+    # A hash of the file's name is shuffled, and the name made once more behind it.
+    name = F.coalesce("_name", "file")
+    dealt = lines_of(every).select(*every.columns, F.xxhash64(name).alias("_hash"))
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_hash")
+    # Never NULL, so that the writer takes the order as it is. This is what it calls files without a name.
+    whole = F.coalesce(F.nullif(name, F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    ordered = lines_of(dealt).select(*every.columns, whole.alias("_file")).sortWithinPartitions("_file", "_rank")
+    lines = lines_of(ordered).drop("file").withColumnRenamed("_file", "file")
     staged = f"{directory}/staged"
     (
-        rows.repartition("file").sortWithinPartitions("file", "rank").select("file", "line")
+        lines.select("file", F.when(F.col("_rank") == 0, header).otherwise(F.col("line")).alias("line"))
         .write.partitionBy("file").text(staged)
     )
-    _take_names(spark, staged, f"{directory}/scrapes")
-
-
-def put_aside(lines: DataFrame, headers: DataFrame, directory: str, folder: str) -> None:
-    """Write files as ``write_scrapes`` does, but to a folder below the scrapes of ``directory``."""
-    write_scrapes(lines, headers, f"{directory}/aside")
-    spark = lines.sparkSession
-    source = spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/aside/scrapes")
-    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.rename(source, spark._jvm.org.apache.hadoop.fs.Path(f"{directory}/scrapes/{folder}"))
+    _take_names(spark, staged, target or f"{directory}/scrapes")
 
 
 def _take_names(spark, staged: str, directory: str) -> None:
@@ -59,11 +61,6 @@ def _take_names(spark, staged: str, directory: str) -> None:
         files.rename(parts[0], hadoop.Path(f"{directory}/{unquote(name.removeprefix('file='))}"))
 
 
-def file_headers(lines: DataFrame, header: Column) -> DataFrame:
-    """The header line of each file in ``lines``, from an expression over the file name."""
-    return lines.select("file").distinct().withColumn("line", header)
-
-
 def header_of(columns: Sequence[str]) -> Column:
     """A header line."""
     return F.lit(",".join(columns))

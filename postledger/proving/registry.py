@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,10 +34,14 @@ from postledger.plans.publish import (
     refresh_statistics,
 )
 from postledger.plans.refresh import publish_changes, publish_date
-from postledger.proving.files import csv_line, file_headers, header_of, put_aside, remove_files, replace_files, write_scrapes
+from postledger.proving.files import csv_line, header_of, remove_files, replace_files, write_scrapes
 from postledger.proving.scrapes import (
     SUPPLIERS_PER_SHARD,
+    as_reprocessed,
+    as_scraped,
     landed_orders,
+    order_lines,
+    orders_of,
     reprocessed_lines,
     scraped_documents,
     scraped_orders,
@@ -96,7 +100,9 @@ def _part(index: int):
     return F.col("file").contains(f"-part{index}-")
 
 
-def _scrape_lines(scraped: DataFrame) -> DataFrame:
+def _scrape_lines(orders: DataFrame, word: str = "") -> DataFrame:
+    """Orders with the file that each is scraped to and its line there; ``word`` goes before titles."""
+    scraped = as_scraped(orders, *orders.columns).withColumn("title", F.concat(F.lit(word), F.col("title")))
     rows = scraped.withColumns({"file": F.col("_source_file"), "benefits": F.lit("dental")})
     kinds = [csv_line(*[F.col(c) for c in header]) for header in HEADERS]
     kinds[2] = F.concat(kinds[2], F.lit("\r"))
@@ -105,38 +111,49 @@ def _scrape_lines(scraped: DataFrame) -> DataFrame:
         F.when(_part(0) & (F.col("_order") % 13 == 0), short)
         .when(_part(0), kinds[0]).when(_part(1), kinds[1]).otherwise(kinds[2])
     )
-    return rows.select("file", line.alias("line"))
+    return rows.select(*orders.columns, "file", line.alias("line"))
 
 
-def _write_order_scrapes(spark: SparkSession, sf_dir: str, scraped: DataFrame, directory: str) -> None:
-    lines = _scrape_lines(scraped)
+def _write_orders(orders: DataFrame, directory: str, word: str = "") -> None:
+    """Write orders as scrape files."""
     kinds = [header_of(header) for header in HEADERS]
     kinds[2] = F.concat(kinds[2], F.lit("\r"))
-    headers = file_headers(lines, F.when(_part(0), kinds[0]).when(_part(1), kinds[1]).otherwise(kinds[2]))
+    header = F.when(_part(0), kinds[0]).when(_part(1), kinds[1]).otherwise(kinds[2])
+    write_scrapes(orders, partial(_scrape_lines, word=word), header, directory)
+
+
+def _write_again(spark: SparkSession, sf_dir: str, directory: str) -> None:
+    """Write the scrapes of one date as another scrape of it found them."""
+    orders = orders_of(spark, sf_dir)
+    again = as_scraped(orders, *orders.columns).filter(F.col("_ingest_date") == AGAIN).select(*orders.columns)
+    _write_orders(again, directory, "Again ")
+
+
+def _write_order_scrapes(spark: SparkSession, sf_dir: str, directory: str) -> None:
+    _write_orders(orders_of(spark, sf_dir), directory)
     columns = ("id", "job_url")
-    derived = reprocessed_lines(spark, sf_dir).select(
-        F.col("_source_file").alias("file"), csv_line(*[F.col(c) for c in columns]).alias("line")
-    )
-    shard = (F.col("s_suppkey") / SUPPLIERS_PER_SHARD).cast("long").cast("string")
-    strays = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
-        F.concat(F.lit("contacts-export-"), shard, F.lit(".csv")).alias("file"), csv_line(F.col("s_name")).alias("line")
-    )
-    write_scrapes(
-        lines.unionAll(derived).unionAll(strays),
-        headers.unionAll(file_headers(derived, header_of(columns))).unionAll(
-            file_headers(strays, header_of(["name"]))
-        ),
-        directory,
-    )
+
+    def derived(lines: DataFrame) -> DataFrame:
+        line = csv_line(*[F.col(c) for c in columns]).alias("line")
+        return as_reprocessed(lines, *lines.columns).select(*lines.columns, F.col("_source_file").alias("file"), line)
+
+    def strays(suppliers: DataFrame) -> DataFrame:
+        shard = (F.col("s_suppkey") / SUPPLIERS_PER_SHARD).cast("long").cast("string")
+        file = F.concat(F.lit("contacts-export-"), shard, F.lit(".csv"))
+        return suppliers.withColumns({"file": file, "line": csv_line(F.col("s_name"))})
+
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_name")
+    write_scrapes(order_lines(spark, sf_dir), derived, header_of(columns), f"{directory}/derived", f"{directory}/scrapes")
+    write_scrapes(suppliers, strays, header_of(["name"]), f"{directory}/strays", f"{directory}/scrapes")
     # What lies in a folder below is no scrape, whatever the folder is called.
-    put_aside(derived, file_headers(derived, header_of(columns)), directory, "archive=old")
+    write_scrapes(order_lines(spark, sf_dir), derived, header_of(columns), f"{directory}/aside", f"{directory}/scrapes/archive=old")
 
 
 def _order_scrapes(spark: SparkSession, sf_dir: str) -> str:
     """Directory with the scrapes of all orders, derived files and a stray one beside them."""
     made = _once(
         spark, "scrapes", sf_dir,
-        lambda d: _write_order_scrapes(spark, sf_dir, scraped_orders(spark, sf_dir), d),
+        lambda d: _write_order_scrapes(spark, sf_dir, d),
     )
     return f"{made}/scrapes"
 
@@ -164,13 +181,16 @@ def land_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make(directory: str) -> None:
-        rows = scraped_orders(spark, sf_dir).withColumn("file", F.col("_source_file"))
         cells = [F.col(c) for c in SCRAPED]
         line = F.when(F.col("_order") % 97 == 0, csv_line(*cells, F.lit(""))).when(
             F.col("_order") % 89 == 0, csv_line(*cells, F.lit("one"), F.lit("more"))
         ).otherwise(csv_line(*cells))
-        lines = rows.select("file", line.alias("line"))
-        write_scrapes(lines, file_headers(lines, header_of(SCRAPED)), directory)
+
+        def lines_of(orders: DataFrame) -> DataFrame:
+            rows = as_scraped(orders, *orders.columns)
+            return rows.select(*orders.columns, F.col("_source_file").alias("file"), line.alias("line"))
+
+        write_scrapes(orders_of(spark, sf_dir), lines_of, header_of(SCRAPED), directory)
 
     source = _once(spark, "wide", sf_dir, make) + "/scrapes"
     wide = read_scrapes(spark, raw_scrape_paths(spark, source), wide_rows="only")
@@ -192,9 +212,10 @@ def land_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("id", "site", "job_url", "title", "emails", "description")
 
     def make(directory: str) -> None:
-        rows = scraped_documents(spark, sf_dir).withColumn("file", F.col("_source_file"))
-        lines = rows.select("file", csv_line(*[F.col(c) for c in columns]).alias("line"))
-        write_scrapes(lines, file_headers(lines, header_of(columns)), f"{directory}/source")
+        def lines_of(rows: DataFrame) -> DataFrame:
+            return rows.withColumns({"file": F.col("_source_file"), "line": csv_line(*[F.col(c) for c in columns])})
+
+        write_scrapes(scraped_documents(spark, sf_dir), lines_of, header_of(columns), f"{directory}/source")
         land(spark, f"{directory}/source/scrapes", f"{directory}/root")
 
     root = _once(spark, "documents", sf_dir, make) + "/root"
@@ -207,13 +228,14 @@ def land_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make(directory: str) -> None:
-        root = f"{directory}/root"
-        land(spark, _order_scrapes(spark, sf_dir), root)
-        again = scraped_orders(spark, sf_dir).filter(F.col("_ingest_date") == AGAIN)
-        again = again.withColumn("title", F.concat(F.lit("Again "), F.col("title")))
-        _write_order_scrapes(spark, sf_dir, again, f"{directory}/again")
+        source, root = f"{directory}/source", f"{directory}/root"
+        _write_order_scrapes(spark, sf_dir, source)
+        land(spark, f"{source}/scrapes", root)
+        # Files of that date are replaced; derived and stray ones beside them are those that were there.
+        _write_again(spark, sf_dir, f"{directory}/again")
+        replace_files(spark, f"{directory}/again/scrapes", f"{source}/scrapes", lambda name: AGAIN in name)
         for _ in range(2):
-            land(spark, f"{directory}/again/scrapes", root, only_date=AGAIN)
+            land(spark, f"{source}/scrapes", root, only_date=AGAIN)
 
     root = _once(spark, "replaced", sf_dir, make) + "/root"
     return read_landed(spark, landing_dir(root))
@@ -228,11 +250,9 @@ def land_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def make(directory: str) -> None:
         source, root = f"{directory}/source", f"{directory}/root"
-        scraped = scraped_orders(spark, sf_dir)
-        _write_order_scrapes(spark, sf_dir, scraped, source)
+        _write_order_scrapes(spark, sf_dir, source)
         land(spark, f"{source}/scrapes", root)
-        again = scraped.filter(F.col("_ingest_date") == AGAIN).withColumn("title", F.concat(F.lit("Again "), F.col("title")))
-        _write_order_scrapes(spark, sf_dir, again, f"{directory}/again")
+        _write_again(spark, sf_dir, f"{directory}/again")
         replace_files(spark, f"{directory}/again/scrapes", f"{source}/scrapes", lambda name: AGAIN in name)
         remove_files(spark, f"{source}/scrapes", lambda name: f"{LOST}-part1-" in name)
         landed = [land(spark, f"{source}/scrapes", root, changed_only=True).select("ingest_date") for _ in range(2)]

@@ -61,9 +61,20 @@ _PLACE = "array({})[CAST(k % {} AS int)]".format(
 )
 
 
+def orders_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders, in the columns that scraped rows are made of."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+
+
 def scraped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a scraped row, the sensitive and unused columns included."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+    return as_scraped(orders_of(spark, sf_dir))
+
+
+def as_scraped(orders: DataFrame, *also: str) -> DataFrame:
+    """Each of ``orders`` as a scraped row, columns ``also`` of the order kept beside it."""
+    fields = orders.selectExpr(
         "o_orderkey AS k",
         "o_custkey AS c",
         "o_orderpriority AS priority",
@@ -71,8 +82,9 @@ def scraped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(trunc(CAST(o_orderdate AS date), 'quarter') AS string) AS quarter",
         "CAST(floor(o_totalprice) AS string) AS price",
         "concat('Acme ', o_custkey % 97) AS base",
+        *also,
     )
-    return orders.selectExpr(
+    return fields.selectExpr(
         "CASE WHEN priority = '3-MEDIUM' THEN concat('cb-acme-', c % 97) ELSE concat('p-', k) END AS id",
         """CASE priority WHEN '1-URGENT' THEN 'indeed' WHEN '2-HIGH' THEN 'linkedin'
              WHEN '3-MEDIUM' THEN 'careerbeacon' WHEN '5-LOW' THEN 'company:workday'
@@ -103,6 +115,7 @@ def scraped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('recruiter', c, '@mail.example') AS emails",
         """concat('Line one of ', k, '\\nline two, with a comma and a "quote"') AS description""",
         "k AS _order",
+        *also,
     )
 
 
@@ -129,15 +142,26 @@ def scraped_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines: their orders, and the number in the URL of the rows that are made of them."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    number = F.when(F.col("l_linenumber") == 1, F.col("l_partkey")).otherwise(F.col("l_suppkey"))
+    return lines.select("l_orderkey", number.alias("number"))
+
+
 def reprocessed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line as a row of a file derived from raw scrapes, some with URLs of their own."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    url = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("https://jobs.example/"), _text(F.col("l_partkey"))))
+    return as_reprocessed(order_lines(spark, sf_dir))
+
+
+def as_reprocessed(lines: DataFrame, *also: str) -> DataFrame:
+    """Each of ``lines`` as a row of a file derived from raw scrapes, columns ``also`` of the line kept beside it."""
     return lines.select(
         F.concat(F.lit("p-"), _text(F.col("l_orderkey"))).alias("id"),
-        url.otherwise(F.concat(F.lit("https://jobs.example/"), _text(F.col("l_suppkey")))).alias("job_url"),
+        F.concat(F.lit("https://jobs.example/"), _text(F.col("number"))).alias("job_url"),
         F.concat(
             F.lit("scrape-results-2001-10-01-combined-"),
             _text(F.floor(F.col("l_orderkey") / ORDERS_PER_SHARD)), F.lit(".csv"),
         ).alias("_source_file"),
+        *also,
     )

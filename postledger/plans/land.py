@@ -93,6 +93,8 @@ def land(
         schema = None
         for chosen in _groups(listed):
             paths = sorted(row.path for row in files.filter(chosen).select("path").collect())
+            if not paths:  # a part of a date's files that no hash falls to
+                continue
             rows = read_scrapes(spark, paths, pattern, wide_rows, multi_line, undecodable, split_quoted)
             schema, seen = _stage(rows, staged, storage)
             with_rows |= seen

@@ -148,11 +148,11 @@ def by_date(paths: Sequence[str], pattern: str = SCRAPE_GLOB) -> dict[str, list[
     return found
 
 
-def first_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The first record of each file: (path, header, line_end).
+def first_records(spark: SparkSession, paths: Sequence[str], within: int = 1) -> DataFrame:
+    """The first record of each file: (path, header, line_end); both NULL where it does not end ``within`` that many lines.
 
-    A file is a task, which stops behind the record, however large the file is. That takes
-    reading options of their own, so this runs in a session of its own.
+    A file is a task, and only these lines of it leave the scan, however large the file is. That
+    takes reading options of their own, so this runs in a session of its own.
     """
     session = spark.newSession()
     # A file that costs as much to open as a task may read is a task, and is not split.
@@ -161,8 +161,10 @@ def first_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     session.conf.unset("spark.sql.files.maxPartitionNum")
     session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
     lines = session.read.option("lineSep", "\n").text([_literal(path) for path in paths]).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("line")
-    )
+        F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("line"),
+        # Behind the number of the task stands that of the line in it.
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+    ).filter(F.col("place") < within)
     longest, unending = LONGEST_HEADER, UNENDING
 
     # Defined here, so that it travels by value and workers need not have this package.
@@ -188,20 +190,27 @@ def first_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     def first(batches):
         import pyarrow as pa
 
-        path, text = None, ""
+        def found(path, header, line_end):
+            return pa.RecordBatch.from_pydict({"path": [path], "header": [header], "line_end": [line_end]}, schema)
+
+        schema = pa.schema([(name, pa.string()) for name in ("path", "header", "line_end")])
+        path, text, done = None, "", False
         for batch in batches:
+            # Lines behind the record are taken, too: a worker that leaves some is lost to the next task.
             for name, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if name != path:
-                    path, text = name, ""
+                path = name
+                if done:
+                    break
                 text += line.decode("utf-8", "replace") + "\n"
                 start = text.removeprefix("\ufeff")
                 end = end_of_record(start)
                 if end is None and len(text) > longest:
                     end, start = len(unending), unending + "\n"
                 if end is not None:
-                    line_end = "\r\n" if start[end : end + 2] == "\r\n" else start[end]
-                    yield pa.RecordBatch.from_pydict({"path": [path], "header": [start[:end]], "line_end": [line_end]})
-                    return
+                    done = True
+                    yield found(path, start[:end], "\r\n" if start[end : end + 2] == "\r\n" else start[end])
+        if path is not None and not done:
+            yield found(path, None, None)
 
     return lines.mapInArrow(first, "path string, header string, line_end string")
 
@@ -214,10 +223,22 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, str],
 def _files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, str], list[tuple[str, str]]]:
     """By header record and line end the files that have it: path as written, and as a reader gives it.
 
-    Each distinct header comes to the driver once, with the paths of its files.
+    Each distinct header comes to the driver once, with the paths of its files. Those that do
+    not end with the first line are looked up again, in as many lines as a header may have.
     """
-    found = first_records(spark, paths).groupBy("header", "line_end").agg(F.collect_list("path").alias("paths"))
-    grouped = {(row.header, row.line_end): sorted((_plain(path), path) for path in row.paths) for row in found.collect()}
+
+    def files(found: DataFrame) -> dict[tuple[str | None, str | None], list[str]]:
+        by_header = found.groupBy("header", "line_end").agg(F.collect_list("path").alias("paths"))
+        return {(row.header, row.line_end): row.paths for row in by_header.collect()}
+
+    found = files(first_records(spark, paths))
+    if longer := found.pop((None, None), None):
+        # A line has one character at least, its end.
+        more = files(first_records(spark, [_plain(path) for path in longer], LONGEST_HEADER + 1))
+        more.pop((None, None), None)
+        for key, own in more.items():
+            found[key] = [*found.get(key, []), *own]
+    grouped = {key: sorted((_plain(path), path) for path in own) for key, own in found.items()}
     known = {plain: key[0] for key, own in grouped.items() for plain, _ in own}
     for path in paths:
         in_full = path if ":" in path.split("/", 1)[0] else qualified(spark, path)

@@ -34,6 +34,7 @@ from postledger.plans.publish import (
     refresh_statistics,
 )
 from postledger.plans.refresh import publish_changes, publish_date
+from postledger.plans.write import write_together
 from postledger.proving.files import csv_line, header_of, remove_files, replace_files, write_scrapes
 from postledger.proving.scrapes import (
     SUPPLIERS_PER_SHARD,
@@ -130,7 +131,6 @@ def _write_again(spark: SparkSession, sf_dir: str, directory: str) -> None:
 
 
 def _write_order_scrapes(spark: SparkSession, sf_dir: str, directory: str) -> None:
-    _write_orders(orders_of(spark, sf_dir), directory)
     columns = ("id", "job_url")
 
     def derived(lines: DataFrame) -> DataFrame:
@@ -143,10 +143,14 @@ def _write_order_scrapes(spark: SparkSession, sf_dir: str, directory: str) -> No
         return suppliers.withColumns({"file": file, "line": csv_line(F.col("s_name"))})
 
     suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_name")
-    write_scrapes(order_lines(spark, sf_dir), derived, header_of(columns), f"{directory}/derived", f"{directory}/scrapes")
-    write_scrapes(suppliers, strays, header_of(["name"]), f"{directory}/strays", f"{directory}/scrapes")
-    # What lies in a folder below is no scrape, whatever the folder is called.
-    write_scrapes(order_lines(spark, sf_dir), derived, header_of(columns), f"{directory}/aside", f"{directory}/scrapes/archive=old")
+    lines, here = order_lines(spark, sf_dir), f"{directory}/scrapes"
+    write_together({
+        "raw": partial(_write_orders, orders_of(spark, sf_dir), directory),
+        "derived": partial(write_scrapes, lines, derived, header_of(columns), f"{directory}/derived", here),
+        "strays": partial(write_scrapes, suppliers, strays, header_of(["name"]), f"{directory}/strays", here),
+        # What lies in a folder below is no scrape, whatever the folder is called.
+        "aside": partial(write_scrapes, lines, derived, header_of(columns), f"{directory}/aside", f"{here}/archive=old"),
+    }, spark)
 
 
 def _order_scrapes(spark: SparkSession, sf_dir: str) -> str:

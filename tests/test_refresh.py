@@ -2,10 +2,12 @@
 
 import glob
 import random
+import re
 from collections import Counter
 
 import pytest
 
+from postledger.operators import changes
 from postledger.operators.changes import GONE, applied, change_set, differing_hashes, folded, version_diff
 from postledger.operators.contracts import ContractViolation
 from postledger.operators.facts import build_observations, build_postings, merge_postings, roll_up
@@ -76,6 +78,17 @@ class TestChangeSets:
         assert text.count("Exchange") == 1 and "partial_sum(n" in text
         assert "NestedLoop" not in plan(version_diff(df, df, ["k"]))
 
+    def test_rows_that_do_not_differ_are_not_digested_to_be_looked_up(self, spark, tmp_path, monkeypatch):
+        plans, real = {}, changes._written
+        monkeypatch.setattr(changes, "_written", lambda df, name: plans.update({name: plan(df, "simple")}) or real(df, name))
+        for name, rows in (("old", [("a", 1, "x"), ("b", 2, "y")]), ("new", [("a", 1, "x"), ("b", 3, "y")])):
+            spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/{name}")
+        old, new = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("old", "new"))
+        found = changes.differing_rows(old, new).collect()
+        assert sorted((r.copies, tuple(r.row)) for r in found) == [(-1, ("b", 2, "y")), (1, ("b", 3, "y"))]
+        joins = re.findall(r"Join \[([^\]]*)\]", plans["differing-rows"])
+        assert joins and all(keys.startswith("_hash") and "," not in keys for keys in joins)
+
     @pytest.mark.parametrize("seed", range(2))
     def test_applying_a_change_set_gives_the_new_version(self, spark, seed):
         draw = random.Random(seed)

@@ -2,16 +2,18 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, DoubleType, StructField
+from pyspark.sql.types import BooleanType, DateType, DoubleType, StringType, StructField
 
 from postledger.functions import amount, posted_date, with_company, with_location
-from postledger.operators.grain import smallest_per_key
+from postledger.operators.grain import packed, smallest_per_key, unpacked
 from postledger.schemas import FACT_OBSERVATION, FACT_POSTING
 
 _SIGHTING = ("_ingest_date", "site", "job_url")
 
 # What a posting takes over from its last sighting: all that both facts have.
 _LAST_SEEN = tuple(c for c in FACT_POSTING.columns if c in FACT_OBSERVATION.columns and c not in FACT_POSTING.key)
+_LAST_TEXTS = [c for c in _LAST_SEEN if FACT_POSTING.schema[c].dataType == StringType()]
+_LAST_OTHERS = [c for c in _LAST_SEEN if c not in _LAST_TEXTS]
 
 # The landed field behind a column of the observation fact, where it has another name.
 _LANDED_AS = {
@@ -58,33 +60,32 @@ def roll_up(observations: DataFrame) -> DataFrame:
 
     Attributes come from the last sighting (among sites seen on that day the first by
     name), span and counts from all of them, in one aggregate and one shuffle. The two
-    sets hold the dates and sites of one posting, at most a calendar's and a site list's
+    sets, of which span and counts are made, hold the dates and sites of one posting, at most a calendar's and a site list's
     worth, and merge before the shuffle; counting distinct values instead would triple the
     rows. Sightings without a URL belong to no posting. The hash in front of the URL is
-    there for the sort, as in :func:`smallest_per_key`.
+    there for the sort, and texts are packed, as in :func:`smallest_per_key`.
     """
     latest_first = F.struct(
-        F.coalesce(-F.unix_date("ingest_date"), F.lit(2**31 - 1)), "source_key", "source_file"
+        F.coalesce(-F.unix_date("ingest_date"), F.lit(2**31 - 1)), packed(["source_key", "source_file"])
     )
     spans = (
         observations.filter(F.col("job_url").isNotNull())
         .groupBy(F.xxhash64("job_url").alias("_hash"), "job_url")
         .agg(
-            F.min_by(F.struct(*_LAST_SEEN), latest_first).alias("_last"),
-            F.min("ingest_date").alias("first_seen_date"),
-            F.max("ingest_date").alias("last_seen_date"),
-            F.size(F.collect_set("ingest_date")).cast("long").alias("observation_count"),
+            F.min_by(F.struct(packed(_LAST_TEXTS).alias("_texts"), *_LAST_OTHERS), latest_first).alias("_last"),
+            F.collect_set("ingest_date").alias("_dates"),
             F.collect_set("source_key").alias(SOURCES),
         )
     )
-    return spans.select(
+    return spans.withColumn("_texts", unpacked(F.col("_last")["_texts"])).select(
         "job_url",
-        *[F.col("_last")[c].alias(c) for c in _LAST_SEEN],
-        "first_seen_date",
-        "last_seen_date",
-        "observation_count",
+        *[F.get("_texts", F.lit(place)).alias(c) for place, c in enumerate(_LAST_TEXTS)],
+        *[F.col("_last")[c].alias(c) for c in _LAST_OTHERS],
+        F.array_min("_dates").alias("first_seen_date"),
+        F.array_max("_dates").alias("last_seen_date"),
+        F.size("_dates").cast("long").alias("observation_count"),
         F.size(SOURCES).cast("long").alias("source_count"),
-        (F.datediff("last_seen_date", "first_seen_date") + 1).alias("days_visible"),
+        (F.datediff(F.array_max("_dates"), F.array_min("_dates")) + 1).alias("days_visible"),
         F.array_sort(SOURCES).alias(SOURCES),
     ).select(*FACT_POSTING.columns, SOURCES)
 

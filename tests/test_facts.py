@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from postledger.operators.facts import build_observations, build_postings
-from postledger.operators.grain import smallest_per_key
+from postledger.operators.grain import packed, smallest_per_key, unpacked
 from postledger.schemas import FACT_OBSERVATION, FACT_POSTING
 from tests.rows import landed, landed_row
 
@@ -141,3 +141,26 @@ def test_smallest_per_key_breaks_ties_by_the_other_columns(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "b", 1), (1, None, 9), (None, "a", 1), (None, "a", 0)], "k int, o string, v int")
     rows = smallest_per_key(df, ["k"], ["o"]).orderBy(F.col("k").asc_nulls_first()).collect()
     assert [tuple(r) for r in rows] == [(None, "a", 0), (1, None, 9)]
+
+
+TEXTS = (None, "", "\0", "\0\0", "\0\1", "\0\2", "\1", "\1\0", "\1\1", "\1\2", "\2", "+", "a", "a\0", "a\0b", "a\1", "a\1b", "ab", "é", "日本", "\U0001f600")
+
+
+def test_packed_texts_sort_as_apart_and_come_back(spark):
+    pairs = [(a, b) for a in TEXTS for b in TEXTS]
+    df = spark.createDataFrame(random.Random(2).sample(pairs, len(pairs)), "a string, b string")
+    rows = df.select("a", "b", packed(["a", "b"]).alias("both")).select("a", "b", unpacked(F.col("both")).alias("back"), "both").orderBy("both").collect()
+    assert [(r.a, r.b) for r in rows] == [tuple(r) for r in df.orderBy(F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first()).collect()]
+    assert all(r.back == [r.a, r.b] for r in rows)
+
+
+def test_smallest_per_key_among_texts_of_any_shape(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(9), *rng.choices(TEXTS, k=2), rng.randrange(2), *rng.choices(TEXTS, k=3)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k int, a string, b string, n int, c string, d string, e string")
+    expected = {}
+    for row in rows:
+        # NULL first, then by UTF-8, as Spark sorts texts.
+        rank = [(v is not None, v.encode() if isinstance(v, str) else v) for v in (row[2], row[1], *row[3:])]
+        expected[row[0]] = min(expected.get(row[0], (rank, row)), (rank, row), key=lambda found: found[0])
+    assert {tuple(r) for r in smallest_per_key(df, ["k"], ["b"]).collect()} == {row for _, row in expected.values()}

@@ -66,6 +66,13 @@ def test_facts_take_one_shuffle_each(rows, spark, model):
     assert plan(build_postings(observations), "simple").count("Exchange") == 1
 
 
+def test_facts_shuffle_texts_as_one(rows, spark, model):
+    # A column of each text takes eight bytes and more beside what it holds.
+    observations = read_table(spark, model, FACT_OBSERVATION)
+    for df, lone in ((build_observations(rows), r"partial_min\(struct\(_packed_0, "), (build_postings(observations), r"partial_min_by\(struct\(_texts, ")):
+        assert re.search(lone, plan(df, "simple")), plan(df, "simple")
+
+
 def test_dimensions_read_one_column(rows):
     tables = tables_of(rows)
     for name, column in (("dim_company", "company"), ("dim_location", "location"), ("dim_source", "site")):

@@ -30,20 +30,24 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postledger.llm.bpe import ByteBpe, byte_letters, cut_words, joined_words
-from postledger.llm.common import UnitStore, in_slices, process_cache, shuffle_partitions, text_or_empty, written
+from postledger.llm.common import UnitStore, in_pieces, process_cache, shuffle_partitions, text_or_empty, written
 
 FOOTER = "<QQQQQQ8s"
 MAGIC = b"PLTOKEN1"  # little-endian throughout
 MAX_LEVELS = 48
 SHARD_BYTES = 64 * 1024 * 1024
-# Units that a byte-level pre-tokenizer cuts in two at most: Latin letters, all of which are
-# letters in every version of Unicode, a space before and marks behind them.
-PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([.,;:!?]{0,8})")
+# Units that any byte-level pre-tokenizer cuts alike: Latin letters, all of which are letters
+# in every version of Unicode, a space before and marks behind them; then perhaps a line end
+# and such a word again. Marks that added tokens are usually made of are not among these.
+LATIN, CLOSING = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f", r"!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~"
+PLAIN = re.compile(f"( ?[{LATIN}]+)([{CLOSING}]{{0,8}})(?:\n([{LATIN}]+)([{CLOSING}]{{0,8}}))?")
+PLAIN_CHARS = re.compile(f"[ \n{LATIN}{CLOSING}]*")
 
 
 def _key_hash(key, seed: int) -> int:
@@ -179,7 +183,9 @@ def _library(content, width: int) -> UnitStore:
         byte_level = ByteBpe(content.value)
         marks, added, cut = byte_level.marks, byte_level.added, tokenizer.pre_tokenizer.pre_tokenize_str
         merge, plain, letters, kind = tokenizer.model.tokenize, PLAIN.fullmatch, dict(enumerate(byte_letters())), "H" if width == 2 else "I"
-        ends: dict[str, bytes] = {"": b""}
+        # Where every added token has a character that plain units lack, none needs a look.
+        may_be_added = marks.search if any(map(PLAIN_CHARS.fullmatch, added)) else None
+        closing: dict[str, bytes] = {"": b""}
 
         def packed(ids: list[int]) -> bytes:
             try:
@@ -193,26 +199,38 @@ def _library(content, width: int) -> UnitStore:
             ids = [packed([token.id for token in merge(w)]) for w in words]
             return joined_words(parts, ids, lambda i: packed([i]))
 
+        def of_word(word: str) -> bytes:
+            word = word.replace(" ", letters[0x20]) if word.isascii() else word.encode().decode("latin-1").translate(letters)
+            return packed([token.id for token in merge(word)])
+
+        def of_marks(found: str) -> bytes:
+            if found not in closing:
+                closing[found] = packed([token.id for token in merge(found.replace("\n", letters[0x0A]))])
+            return closing[found]
+
         def encode(found: list[str]) -> list[bytes]:
             out: list[bytes] = []
             others: list[int] = []
             for i, unit in enumerate(found):
                 cut_here = plain(unit)
-                if cut_here is None or (marks and marks.search(unit)):
+                if cut_here is None or (may_be_added and may_be_added(unit)):
                     others.append(i)
                     out.append(b"")
                     continue
-                # One word, and what closes it: the library would cut here, too.
-                word, end = cut_here.groups()
-                if end not in ends:
-                    ends[end] = packed([token.id for token in merge(end)])
-                word = word.replace(" ", letters[0x20]) if word.isascii() else word.encode().decode("latin-1").translate(letters)
-                out.append(packed([token.id for token in merge(word)]) + ends[end])
+                # Words, and what closes them: the library would cut here, too.
+                word, end, below, last = cut_here.groups()
+                # A word may be known without what closes it.
+                ids = (store.spaced.get(word[1:]) if end or below else None) or of_word(word) if word[0] == " " else of_word(word)
+                if end:
+                    ids += of_marks(end)
+                if below:
+                    ids += of_marks("\n") + (store.whole.get(below) or of_word(below)) + of_marks(last)
+                out.append(ids)
             for i, ids in zip(others, of_words([found[i] for i in others]), strict=True):
                 out[i] = ids
             return out
 
-        cache[content.value, width] = UnitStore(encode, 6_000_000)
+        store = cache[content.value, width] = UnitStore(encode, 6_000_000)
     return cache[content.value, width]
 
 
@@ -242,10 +260,10 @@ def write_tokens(
         keys, counts = [], []
         for batch in batches:
             keys += batch.column(0).to_pylist()
-            for texts in in_slices(batch.column(1), 60_000):
-                parts = store.ids(texts)
-                counts += [len(part) // width + 1 for part in parts]
-                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["value"])
+            for texts in in_pieces(batch.column(1)):
+                parts = store.column_ids(texts)
+                counts += (pc.binary_length(parts).to_numpy(zero_copy_only=False) // width + 1).tolist()
+                yield pa.RecordBatch.from_arrays([parts.cast(pa.binary())], ["value"])
         if keys:
             yield pa.RecordBatch.from_arrays([pa.array([build_index(keys, counts)], pa.binary())], ["value"])
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -14,7 +15,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from postledger.llm import bpe, components, multiset_hash, quality, simhash, suffix_dedup, token_store
-from postledger.llm.common import UnitStore, units
+from postledger.llm.common import UnitStore, in_pieces, units
 from tests.llm.rows import documents, odd_rows
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -409,3 +410,53 @@ def test_plain_words_are_cut_like_the_library(library):
     texts += [f" word{m}" for m in (".", "..", "...", ",,", "!?", ";" * 8, ";" * 9, ".'s", "'s", ". ", ".\n")]
     for text in texts:
         assert np.frombuffer(store.ids([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_closing_marks_and_line_ends_are_cut_like_the_library(library):
+    """Marks, and a second word behind a line end, also where the words are known already."""
+
+    class Content:
+        value = library.to_str().encode()
+
+    store = token_store._library(Content, 4)
+    marks = [chr(c) for c in range(0x80) if token_store.PLAIN.fullmatch(f"a{chr(c)}") and not chr(c).isalpha()]
+    assert set("!\"#$%&()*+,-./:;=?@[\\]^_`{}~") == set(marks)
+    texts = ["Word word wörd", *(f"Word{m}{n} word{n}{m}\nWord{m} wörd\nWord{n}" for m in marks for n in ("", *marks))]
+    texts += ["word\nwörd", "word.\nWord. word\n", "word\n\nword word \nword", "word\n word", "word\n'll word!'s", "word\r\nword", "word(\n)word"]
+    for text in texts:
+        assert np.frombuffer(store.ids([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_added_tokens_of_plain_characters_are_found_in_new_units():
+    library = Tokenizer.from_file(TOKENIZER)
+    library.add_tokens(["ord.\\nW"])
+
+    class Content:
+        value = library.to_str().encode()
+
+    text = "some word word.\nWord word.\nworn"
+    store = token_store._library(Content, 4)
+    assert np.frombuffer(store.ids([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_a_column_has_the_ids_of_its_texts(kind):
+    """Blanks of every kind, empty and NULL texts, a store that forgets, a column that begins elsewhere."""
+    pieces = ["the", "The.\nA", "é", "", "x ", "b", "\x1c", "ñ!", "\u0085", "\u2003", " lead"]
+    rng = np.random.default_rng(1)
+    texts = ["", None, " ", "  a", "a  b", "a b ", "\n", *(" ".join(rng.choice(pieces, rng.integers(0, 8))) for _ in range(500))]
+    column = pa.array(["left out", *texts], kind).slice(1)
+    for size in (1 << 20, 20):
+        store = UnitStore(lambda found: [f"<{unit}>".encode() for unit in found], most_chars=30)
+        found = [ids for part in in_pieces(column, size) for ids in store.column_ids(part).to_pylist()]
+        plain = UnitStore(lambda found: [f"<{unit}>".encode() for unit in found])
+        assert found == plain.ids([text or "" for text in texts])
+
+
+def test_columns_are_cut_by_arrow_alone(monkeypatch):
+    """Texts without odd blanks are neither cut nor joined one by one."""
+    store = UnitStore(lambda found: [unit.encode() for unit in found])
+    lists = []
+    monkeypatch.setattr(store, "ids", lambda texts: lists.append(texts) or [b""] * len(texts))
+    assert store.column_ids(pa.array(["some words here", "words here"])).to_pylist() == [b"some words here", b"words here"]
+    assert lists == [[]]

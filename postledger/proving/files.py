@@ -1,6 +1,7 @@
 """Write rows as the CSV files a scraper would have left."""
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ def csv_line(*cells: Column) -> Column:
         text = F.coalesce(cell.cast("string"), F.lit(""))
         doubled = F.replace(text, F.lit('"'), F.lit('""'))
         quoted.append(
-            F.when(text.rlike('[",\r\n]'), F.concat(F.lit('"'), doubled, F.lit('"'))).otherwise(text)
+            F.when(reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in '",\r\n']), F.concat(F.lit('"'), doubled, F.lit('"'))).otherwise(text)
         )
     return F.concat_ws(",", *quoted)
 

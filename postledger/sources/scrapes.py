@@ -148,8 +148,8 @@ def by_date(paths: Sequence[str], pattern: str = SCRAPE_GLOB) -> dict[str, list[
     return found
 
 
-def first_records(spark: SparkSession, paths: Sequence[str], within: int = 1) -> DataFrame:
-    """The first record of each file: (path, header, line_end); both NULL where it does not end ``within`` that many lines.
+def _first_lines(spark: SparkSession, paths: Sequence[str], within: int) -> DataFrame:
+    """The first ``within`` lines of each file: (path, line).
 
     A file is a task, and only these lines of it leave the scan, however large the file is. That
     takes reading options of their own, so this runs in a session of its own.
@@ -160,11 +160,31 @@ def first_records(spark: SparkSession, paths: Sequence[str], within: int = 1) ->
     session.conf.set("spark.sql.files.maxPartitionBytes", 1 << 40)
     session.conf.unset("spark.sql.files.maxPartitionNum")
     session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
-    lines = session.read.option("lineSep", "\n").text([_literal(path) for path in paths]).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("line"),
+    return session.read.option("lineSep", "\n").text([_literal(path) for path in paths]).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"),
         # Behind the number of the task stands that of the line in it.
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
     ).filter(F.col("place") < within)
+
+
+def plain_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """What ``first_records`` gives, without Python, of files whose first line has no quote; both NULL for others.
+
+    Without quotes the record ends with the first line, or at a carriage return in it.
+    """
+    line = F.col("line")
+    text = F.when(line.startswith("\ufeff"), F.substring(line, 2, 2**31 - 1)).otherwise(line)
+    plain = ~F.contains(line, F.lit('"')) & F.is_valid_utf8(line)
+    ended = F.instr(text, "\r")
+    line_end = F.when(ended == 0, F.lit("\n")).when(ended == F.char_length(text), F.lit("\r\n")).otherwise(F.lit("\r"))
+    return _first_lines(spark, paths, 1).select(
+        "path", F.when(plain, F.substring_index(text, "\r", 1)).alias("header"), F.when(plain, line_end).alias("line_end")
+    )
+
+
+def first_records(spark: SparkSession, paths: Sequence[str], within: int = 1) -> DataFrame:
+    """The first record of each file: (path, header, line_end); both NULL where it does not end ``within`` that many lines."""
+    lines = _first_lines(spark, paths, within).select("path", F.col("line").cast("binary").alias("line"), "place")
     longest, unending = LONGEST_HEADER, UNENDING
 
     # Defined here, so that it travels by value and workers need not have this package.
@@ -223,21 +243,22 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, str],
 def _files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, str], list[tuple[str, str]]]:
     """By header record and line end the files that have it: path as written, and as a reader gives it.
 
-    Each distinct header comes to the driver once, with the paths of its files. Those that do
-    not end with the first line are looked up again, in as many lines as a header may have.
+    Each distinct header comes to the driver once, with the paths of its files. Those with
+    quotes are looked up again, and those that do not end with the first line once more, in as
+    many lines as a header may have.
     """
 
     def files(found: DataFrame) -> dict[tuple[str | None, str | None], list[str]]:
         by_header = found.groupBy("header", "line_end").agg(F.collect_list("path").alias("paths"))
         return {(row.header, row.line_end): row.paths for row in by_header.collect()}
 
-    found = files(first_records(spark, paths))
-    if longer := found.pop((None, None), None):
-        # A line has one character at least, its end.
-        more = files(first_records(spark, [_plain(path) for path in longer], LONGEST_HEADER + 1))
-        more.pop((None, None), None)
-        for key, own in more.items():
-            found[key] = [*found.get(key, []), *own]
+    found = files(plain_headers(spark, paths))
+    # A line has one character at least, its end.
+    for within in (1, LONGEST_HEADER + 1):
+        if unknown := found.pop((None, None), None):
+            for key, own in files(first_records(spark, [_plain(path) for path in unknown], within)).items():
+                found[key] = [*found.get(key, []), *own]
+    found.pop((None, None), None)
     grouped = {key: sorted((_plain(path), path) for path in own) for key, own in found.items()}
     known = {plain: key[0] for key, own in grouped.items() for plain, _ in own}
     for path in paths:

@@ -8,16 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def csv_cell(cell: Column) -> Column:
+    """A value as a cell of a CSV line, quoted where it must be; NULL is an empty cell."""
+    text = F.coalesce(cell.cast("string"), F.lit(""))
+    doubled = F.replace(text, F.lit('"'), F.lit('""'))
+    special = reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in '",\r\n'])
+    return F.when(special, F.concat(F.lit('"'), doubled, F.lit('"'))).otherwise(text)
+
+
 def csv_line(*cells: Column) -> Column:
-    """Cells as one CSV line, quoted where they must be; NULL is an empty cell."""
-    quoted = []
-    for cell in cells:
-        text = F.coalesce(cell.cast("string"), F.lit(""))
-        doubled = F.replace(text, F.lit('"'), F.lit('""'))
-        quoted.append(
-            F.when(reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in '",\r\n']), F.concat(F.lit('"'), doubled, F.lit('"'))).otherwise(text)
-        )
-    return F.concat_ws(",", *quoted)
+    """Values as one CSV line."""
+    return F.concat_ws(",", *map(csv_cell, cells))
 
 
 def write_scrapes(rows: DataFrame, lines_of: Callable[[DataFrame], DataFrame], header: Column, directory: str, target: str | None = None) -> None:

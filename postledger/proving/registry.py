@@ -35,7 +35,7 @@ from postledger.plans.publish import (
 )
 from postledger.plans.refresh import publish_changes, publish_date
 from postledger.plans.write import write_together
-from postledger.proving.files import csv_line, header_of, remove_files, replace_files, write_scrapes
+from postledger.proving.files import csv_cell, csv_line, header_of, remove_files, replace_files, write_scrapes
 from postledger.proving.scrapes import (
     SUPPLIERS_PER_SHARD,
     as_reprocessed,
@@ -105,13 +105,15 @@ def _scrape_lines(orders: DataFrame, word: str = "") -> DataFrame:
     """Orders with the file that each is scraped to and its line there; ``word`` goes before titles."""
     scraped = as_scraped(orders, *orders.columns).withColumn("title", F.concat(F.lit(word), F.col("title")))
     rows = scraped.withColumns({"file": F.col("_source_file"), "benefits": F.lit("dental")})
-    kinds = [csv_line(*[F.col(c) for c in header]) for header in HEADERS]
-    kinds[2] = F.concat(kinds[2], F.lit("\r"))
-    short = csv_line(*[F.col(c) for c in SCRAPED[:SHORT]])
-    line = (
-        F.when(_part(0) & (F.col("_order") % 13 == 0), short)
+    # Cells are chosen first and made into a line by one expression, not one per kind of file:
+    # the generated method would be one that the JVM only interprets.
+    kinds = [F.array(*header) for header in (*HEADERS, SCRAPED[:SHORT])]
+    chosen = (
+        F.when(_part(0) & (F.col("_order") % 13 == 0), kinds[-1])
         .when(_part(0), kinds[0]).when(_part(1), kinds[1]).otherwise(kinds[2])
     )
+    end = F.when(_part(0) | _part(1), F.lit("")).otherwise(F.lit("\r"))
+    line = F.concat(F.array_join(F.transform(chosen, csv_cell), ","), end)
     return rows.select(*orders.columns, "file", line.alias("line"))
 
 

@@ -1,8 +1,13 @@
+import csv
 import os
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from postledger.proving import registry
 from postledger.proving.files import write_scrapes
+from postledger.proving.registry import HEADERS, SCRAPED, SHORT
+from postledger.proving.scrapes import as_scraped
 
 
 def test_rows_are_shuffled_before_they_are_made_into_lines(spark, tmp_path, monkeypatch):
@@ -26,3 +31,23 @@ def test_rows_are_shuffled_before_they_are_made_into_lines(spark, tmp_path, monk
     held = sorted(int(line.split(",")[0]) for lines in found.values() for line in lines[1:])
     assert held == list(range(300))
     assert sorted(int(line.split(",")[0]) for line in found["__HIVE_DEFAULT_PARTITION__"][1:]) == [99, 199, 299]
+
+
+def test_lines_of_scrapes_are_made_by_compiled_code(spark, tmp_path):
+    """The JVM leaves methods of 8000 bytes and more to its interpreter."""
+    orders = [(n, n + 7, priority, datetime(1997, 4, 1 + n % 28), 10.5 * n) for n, priority in enumerate(["1-URGENT", "3-MEDIUM", "5-LOW"] * 13)]
+    columns = "o_orderkey long, o_custkey long, o_orderpriority string, o_orderdate timestamp, o_totalprice double"
+    spark.createDataFrame(orders, columns).write.parquet(f"{tmp_path}/orders")
+    lines = registry._scrape_lines(spark.read.parquet(f"{tmp_path}/orders"))
+    generated = lines.select("file", "line")._jdf.queryExecution().debug().codegenToSeq()
+    assert max(generated.apply(i)._3().maxMethodCodeSize() for i in range(generated.size())) < 8000
+    # Each kind of file, short rows included, has the cells of the scraped rows in its own order.
+    found = {row.k: (row.file, row.line) for row in lines.select(F.col("o_orderkey").alias("k"), "file", "line").collect()}
+    for row in as_scraped(spark.read.parquet(f"{tmp_path}/orders")).collect():
+        kind = row._order % 3
+        header = SCRAPED[:SHORT] if kind == 0 and row._order % 13 == 0 else HEADERS[kind]
+        value = row.asDict() | {"benefits": "dental"}
+        (file, line), cells = found[row._order], [value[c] or "" for c in header]
+        assert file == row._source_file and line.endswith("\r") == (kind == 2)
+        assert next(csv.reader([line.rstrip("\r")], strict=True)) == cells
+    assert len(found) == len(orders)
